@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.llm import grouped_split
 from corpusmill.llm.overlap import Overlaps
-from corpusmill.session import table
+from corpusmill.session import staged, table
+
+SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
 def _overlaps(spark: SparkSession, d: str) -> Overlaps:
@@ -26,4 +29,17 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return _overlaps(spark, d).report()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report)}
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    t = lambda name: table(spark, d, name)
+    return grouped_split.group_keys(t("sft_mechanisms"), t("mechanism_records"), t("templates"), t("template_aliases"))
+
+
+def p2_split(spark: SparkSession, d: str) -> DataFrame:
+    return grouped_split.split_rows(staged(p2_found(spark, d), "group-keys"), SHARES)
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    return grouped_split.report(p2_found(spark, d), SHARES)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report)}
