@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import grouped_split
+from corpusmill.llm import grouped_split, quota_sample
 from corpusmill.llm.overlap import Overlaps
 from corpusmill.session import staged, table
 
@@ -42,4 +42,16 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return grouped_split.report(p2_found(spark, d), SHARES)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report)}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return quota_sample.unmet(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"))
+
+
+def p4_sample(spark: SparkSession, d: str) -> DataFrame:
+    return quota_sample.sample(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"), "record_no")
+
+
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    return quota_sample.report(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report)}

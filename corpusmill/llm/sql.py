@@ -1,3 +1,33 @@
 """SQL that DuckDB runs on the same tables, for the queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+
+def _category(column: str) -> str:
+    key = rf"regexp_replace(regexp_replace(lower({column}), '^\s*[a-z]+\s*:\s*', ''), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+    key = f"case when {key} = 'med' then 'medium' else {key} end" if column.endswith("level") else key
+    return f"case when {key} not in ('', 'none', 'null', 'na', 'nan', 'unknown', 'und', 'unspecified', 'tbd') then {key} end"
+
+
+_QUOTAS = f"""
+with r as (select record_no, {_category("level")} as l, {_category("subtype")} as s from mechanism_records),
+t as (select *, {_category("level")} as tl, {_category("subtype")} as ts from sample_targets),
+m as (select t.target_id, t.request_id, r.record_no from t join r on (t.level is null or t.tl = r.l) and (t.subtype is null or t.ts = r.s)),
+h as (select target_id, count(*) as have from m group by 1),
+q as (
+  select t.target_id, t.request_id, t.target_permille, n * t.sample_permille // 1000 as size, coalesce(have, 0) as have,
+    greatest(coalesce(min_rows, 0), (n * t.sample_permille // 1000 * t.target_permille + 999) // 1000) as need
+  from t left join h using (target_id) cross join (select count(*) as n from mechanism_records)
+)
+"""
+
+SQL: dict[str, str] = {
+    "p4_found": _QUOTAS + "select target_id from q where have < need",
+    "p4_sample": _QUOTAS
+    + """
+, ranked as (select m.*, row_number() over (partition by target_id order by md5(concat(request_id::varchar, '|', record_no::varchar)), record_no) as k from m)
+select ranked.request_id, ranked.target_id, record_no from ranked join q using (target_id) where k <= least(have, need)""",
+    "p4_report": _QUOTAS
+    + """
+select target_id, request_id, size, need, have, least(need, have) as taken, have >= need as met, target_permille / 1000.0::double as wanted_share,
+  round(least(need, have) / nullif(sum(least(need, have)) over (partition by request_id), 0)::double, 6) as actual_share
+from q""",
+}
