@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import grouped_split, quota_sample
+from corpusmill.llm import grouped_split, mixing, packing, quota_sample
 from corpusmill.llm.overlap import Overlaps
+from corpusmill.llm.tokens import with_tokens
 from corpusmill.session import staged, table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -54,4 +55,24 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample.report(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report)}
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    return staged(with_tokens(table(spark, d, "documents"), ["doc_id", "lang", "source"]), "sized")
+
+
+def p5_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(_sized(spark, d), table(spark, d, "pack_specs"), "doc_id")
+
+
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.report(p5_containers(spark, d), table(spark, d, "pack_specs"))
+
+
+def p6_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(_sized(spark, d), table(spark, d, "mix_targets"), "doc_id")
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.report(_sized(spark, d), table(spark, d, "mix_targets"), "doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report, p5_containers, p5_report, p6_mix, p6_report)}
