@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusmill.llm import grouped_split, mixing, packing, quota_sample
 from corpusmill.llm.overlap import Overlaps
 from corpusmill.llm.tokens import with_tokens
+from corpusmill.llm.truncation import Truncation
 from corpusmill.session import staged, table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -75,4 +76,16 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(_sized(spark, d), table(spark, d, "mix_targets"), "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report, p5_containers, p5_report, p6_mix, p6_report)}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return Truncation(table(spark, d, "documents")).found()
+
+
+def p7_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return Truncation(table(spark, d, "documents")).judged()
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return Truncation(table(spark, d, "documents")).report()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report, p5_containers, p5_report, p6_mix, p6_report, p7_found, p7_verdicts, p7_report)}
