@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.operators.components import hash_to_min
 from corpusmill.session import staged
 
 #: Names that may link entities but never give a group its name begin with this; it sorts last.
@@ -59,22 +60,6 @@ def links(rows: DataFrame, templates: DataFrame, aliases: DataFrame) -> DataFram
     return pairs.unionByName(names).unionByName(retired).filter("a != b").distinct()
 
 
-def hash_to_min(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) with the component's smallest node; edges has columns a and b."""
-    sides = edges.select(F.col("a").alias("v"), F.col("b").alias("u"))
-    clusters = staged(sides.unionByName(sides.select(F.col("u").alias("v"), F.col("v").alias("u"))).unionByName(sides.select("v", F.col("v").alias("u"))).unionByName(sides.select(F.col("u").alias("v"), "u")).distinct(), "clusters")
-    state = None
-    for _ in range(rounds):
-        now = clusters.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "u")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return clusters.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
-        state = now
-        lows = clusters.groupBy("v").agg(F.min("u").alias("m"))
-        held = clusters.join(lows, "v")
-        clusters = staged(held.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(held.select(F.col("m").alias("v"), "u")).distinct(), "clusters")
-    raise RuntimeError(f"no stable components after {rounds} rounds")
-
-
 def group_keys(rows: DataFrame, records: DataFrame, templates: DataFrame, aliases: DataFrame) -> DataFrame:
     """(row_id, group_key) for every row; rows has row_id, record_no and reaction_id."""
     named = rows.select("row_id", "record_no", entities(F.col("reaction_id")).alias("names"))
