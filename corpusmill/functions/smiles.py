@@ -313,6 +313,17 @@ def canonical(smiles: str | None, keep_maps: bool = False) -> str | None:
     return ".".join(sorted(parts))
 
 
+def drawn_from(smiles: str, number: int) -> str:
+    """Another drawing of one connected molecule: walked from atom number (modulo the atoms), with
+    neighbours in an order drawn from it."""
+    mol = parse(smiles)
+    if mol is None:
+        return smiles
+    n = len(mol.atoms)
+    order = [_h(number, i) for i in range(n)]
+    return _write(mol, mol.neighbours(), order, number % n, True)
+
+
 def formula(smiles: str | None) -> dict[str, int] | None:
     """Counts by element, hydrogens included; None for malformed text or exceeded valences."""
     mol = parse(smiles)
