@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.operators.components import hash_to_min, star_edges
-from corpusmill.operators.simjoin import similar_pairs
+from corpusmill.operators.simjoin import set_classes, similar_pairs
 
 #: How much each provenance is preferred; unknown ones rank 0.
 PROVENANCE_RANK = {"curated": 3, "template_expanded": 2, "inferred": 1}
@@ -29,7 +29,9 @@ def clusters(rows: DataFrame, key: str, keys: list[str], fingerprint: str | None
         e = star_edges(rows, key, col)
         edges = e if edges is None else edges.unionByName(e)
     if fingerprint is not None:
-        near = similar_pairs(rows, key, fingerprint, tau, [bucket] if bucket else None).select("a", "b")
+        by = [bucket] if bucket else None
+        equal = set_classes(rows, key, fingerprint, by).select(F.col("rep").alias("a"), F.col(key).alias("b"))
+        near = similar_pairs(rows, key, fingerprint, tau, by).select("a", "b").unionByName(equal)
         edges = near if edges is None else edges.unionByName(near)
     comps = hash_to_min(edges.filter("a != b").distinct())
     return rows.select(key).join(comps.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("component", key).alias("cluster"))

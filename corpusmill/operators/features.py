@@ -49,8 +49,16 @@ def tanimoto(a: Column, b: Column) -> Column:
     return F.when(whole == 0, 1.0).otherwise(both / whole)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also within lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
 def word_shingles(text: Column, n: int = 5) -> Column:
-    """Distinct runs of n words, or the whole of a shorter text; empty for null or blank."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
-    runs = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, F.array_distinct(runs)).when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+    """Hashes of the distinct runs of n words, or of the whole of a shorter text; empty for null or blank."""
+
+    def runs(words: Column) -> Column:
+        several = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")))
+        return F.when(F.size(words) >= n, F.array_distinct(several)).when(F.size(words) > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != ""), runs)
