@@ -57,8 +57,9 @@ def let(value: Column, body) -> Column:
 def word_shingles(text: Column, n: int = 5) -> Column:
     """Hashes of the distinct runs of n words, or of the whole of a shorter text; empty for null or blank."""
 
+    # single elements, as slice() would copy the whole list for every run
     def runs(words: Column) -> Column:
-        several = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")))
+        several = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(n))))
         return F.when(F.size(words) >= n, F.array_distinct(several)).when(F.size(words) > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(F.array().cast("array<bigint>"))
 
     return let(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != ""), runs)
