@@ -22,9 +22,9 @@ def reasons(candidates: DataFrame, benchmark: DataFrame, key: str, tau: str = "1
     """
     out = candidates
     for col, code in (("sig", SET_MATCH), ("skel", SKELETON_MATCH), ("steps", STEPS_MATCH)):
-        known = benchmark.filter(F.col(col).isNotNull()).select(col).distinct().withColumn(f"_{col}", F.lit(code))
+        known = benchmark.filter(F.col(col).isNotNull()).select(col).distinct().withColumn(f"_hit_{col}", F.lit(code))
         out = out.join(known, col, "left")
-    out = out.withColumn("reason", F.coalesce("_sig", "_skel", "_steps")).drop("_sig", "_skel", "_steps")
+    out = out.withColumn("reason", F.coalesce("_hit_sig", "_hit_skel", "_hit_steps")).drop("_hit_sig", "_hit_skel", "_hit_steps")
     if fingerprint is None:
         return out
     left = out.filter("reason is null").select(key, fingerprint)
