@@ -14,7 +14,43 @@ def _nodes(spark: SparkSession, d: str, bodies: bool) -> DataFrame:
     return N.mechanism_nodes(table(spark, d, "mechanism_records"), bodies).unionByName(N.gate_nodes(table(spark, d, "data_cards"), bodies))
 
 
-@query()
+def _listed(value: str, numbered: bool) -> str:
+    """The elements of a JSON value as a list: an array's, those filed under numbers, or itself."""
+    arr = f"list_transform(range(json_array_length({value})::bigint), lambda i: json_extract({value}, '$[' || i::varchar || ']'))"
+    num = f"list_transform(list_sort(list_transform(json_keys({value}), lambda k: k::int)), lambda k: json_extract({value}, '$.\"' || k::varchar || '\"'))"
+    keyed = f"when json_type({value}) = 'OBJECT' and len(json_keys({value})) > 0 and len(list_filter(json_keys({value}), lambda k: not regexp_full_match(k, '[0-9]+'))) = 0 then {num}" if numbered else ""
+    return f"case when json_type({value}) = 'ARRAY' then {arr} {keyed} when json_type({value}) = 'OBJECT' and ({value}::varchar <> '{{}}' or {str(not numbered).lower()}) then [{value}] else [] end"
+
+
+def _exploded(name: str, source: str, value: str, path: str, kind: str, numbered: bool = False) -> str:
+    return f"""{name}_all as (select parent_key, {path} as up, {_listed(value, numbered)} as l from {source}),
+{name} as (select parent_key, '{kind}' as kind, up || (u.i - 1)::varchar as pos_path, l[u.i] as e from {name}_all, unnest(generate_series(1, len(l))) as u(i) where json_type(l[u.i]) = 'OBJECT')"""
+
+
+def _unwrapped(table_: str, key: str, text: str) -> str:
+    once = f"select {key} as parent_key, case when json_valid({text}) then {text}::json end as v from {table_}"
+    return f"(select parent_key, case when json_type(v) = 'VARCHAR' then case when json_valid(json_extract_string(v, '$')) then json_extract_string(v, '$')::json end else v end as v from ({once}))"
+
+
+_GATES = """gates_all as (select parent_key, case when json_type(v) = 'OBJECT' and json_exists(v, '$.gates') then v->'gates' else v end as v from g0),
+gate as (select parent_key, 'gate' as kind, k as pos_path, json_extract(v, '$."' || k || '"') as e from (select parent_key, v, unnest(json_keys(v)) as k from gates_all where json_type(v) = 'OBJECT') where json_type(json_extract(v, '$."' || k || '"')) = 'OBJECT'
+  union all select parent_key, 'gate', json_extract_string(e, '$.phase'), e from (select parent_key, unnest(list_transform(range(json_array_length(v)::bigint), lambda i: json_extract(v, '$[' || i::varchar || ']'))) as e from gates_all where json_type(v) = 'ARRAY') where json_type(e) = 'OBJECT')"""
+
+_P3 = f"""with m0 as (select * from {_unwrapped("mechanism_records", "record_no", "mechanism")} where v is not null),
+m1 as (select parent_key, case when json_type(v) = 'OBJECT' and json_exists(v, '$.mechanism') then v->'mechanism' else v end as v from m0),
+m2 as (select parent_key, case when json_type(v) = 'OBJECT' and json_exists(v, '$.steps') then v->'steps' else v end as v from m1),
+{_exploded("step", "m2", "v", "''", "step", True)},
+{_exploded("arrow", "step", "(e->'arrows')", "pos_path || '.'", "arrow")},
+{_exploded("species", "step", "(e->'species')", "pos_path || '.'", "species")},
+{_exploded("evidence", "species", "(e->'evidence')", "pos_path || '.'", "evidence")},
+g0 as (select * from {_unwrapped("data_cards", "card_no", "gates")} where v is not null), {_GATES},
+{_exploded("input", "gate", "(e->'inputs')", "pos_path || '.'", "input")},
+{_exploded("chk", "gate", "(e->'checks')", "pos_path || '.'", "check")},
+{_exploded("failure", "chk", "(e->'failures')", "pos_path || '.'", "failure")}
+""" + " union all ".join(f"select '{t}' as parent_table, parent_key, kind, pos_path from {c}" for t, cs in (("mechanism_records", ("step", "arrow", "species", "evidence")), ("data_cards", ("gate", "input", "chk", "failure"))) for c in cs)
+
+
+@query(_P3)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return _nodes(spark, d, False).select("parent_table", "parent_key", "kind", "pos_path")
 
