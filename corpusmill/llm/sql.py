@@ -19,7 +19,28 @@ q as (
 )
 """
 
+_TIDY = r"trim(regexp_replace(lower({0}), '[\s_\-‐-―]+', ' ', 'g'))"
+_NUMBER = r"regexp_extract(x, '0*(\d+)$', 1)"
+_GROUPS = rf"""
+with recursive recs as (select record_no, min(reaction_id) as rid from mechanism_records group by 1),
+ids as (select s.row_id, case when coalesce(trim(s.reaction_id), '') = '' then r.rid else s.reaction_id end as id from sft_mechanisms s left join recs r using (record_no)),
+t as (select row_id, regexp_replace(regexp_replace(lower(trim(id, e' \t\r\n')), '^v\d+:\s*', ''), '((__|#)[a-z]+\d+)+\s*$', '') as x from ids),
+h as (select row_id, x, regexp_extract(x, '^(.*?)(_\d+-|$)', 1) as head from t),
+p as (select row_id, x, list_transform(regexp_extract_all(head, '(^|[^a-z])(n[rg][^a-z0-9]*\d+)', 2), lambda x: upper(substr(x, 1, 2)) || '-' || {_NUMBER}) as nr,
+  list_transform(regexp_extract_all(x, '(^|[^a-z])((ds|dataset)[^a-z0-9]?\d+)', 2), lambda x: 'ds' || lpad({_NUMBER}, 6, '0')) as ds,
+  list_transform(regexp_extract_all(x, '(^|[^a-z])(p[^a-z0-9]?\d+)', 2), lambda x: 'P' || lpad({_NUMBER}, 7, '0')) as pt from h),
+n as (select row_id, case when x like 'wiki%' then ['~wiki ' || {_TIDY.format("url_decode(regexp_replace(x, '^wiki[^a-z0-9%]*', ''))")}] when len(nr) > 0 then nr else list_concat(ds, pt) end as names from p),
+old as (select alias from template_aliases where alias not in (select base from templates)),
+raw as (select distinct names[1] as a, unnest(names[2:]) as b from n where len(names) > 1
+  union select '~wiki ' || {_TIDY.format("name")}, base from templates union select alias, base from template_aliases),
+shown as (select case when a in (select alias from old) then '~' || a else a end as a, case when b in (select alias from old) then '~' || b else b end as b from raw where a <> b),
+links as (select a, b from shown union select b, a from shown),
+reach as (select a as node, a as other from links union select r.node, l.b from reach r join links l on r.other = l.a),
+comp as (select regexp_replace(node, '^~(N)', '\1') as node, min(other) as component from reach group by 1)
+"""
+
 SQL: dict[str, str] = {
+    "p2_found": _GROUPS + "select row_id, coalesce(regexp_replace(coalesce(component, names[1]), '^~(wiki )?', ''), 'row ' || row_id::varchar) as group_key from n left join comp on names[1] = node",
     "p4_found": _QUOTAS + "select target_id from q where have < need",
     "p4_sample": _QUOTAS
     + """
