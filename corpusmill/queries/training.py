@@ -173,10 +173,11 @@ def whitespace_tokens(spark, d):
     return table(spark, d, "documents").groupBy(label(F.col("source")).alias("source")).agg(F.sum(words).alias("n_tokens"))
 
 
-@query("select event_id, count(*) over w as observed, round(avg(value) over w, 6)::double as mean_value from events window w as (partition by event_type order by ts, event_id rows between 255 preceding and current row)")
+@query("select event_id, count(*) over w as observed, avg(floor(value * 100 + 0.5)::bigint) over w as mean_hundredths from events window w as (partition by event_type order by ts, event_id rows between 255 preceding and current row)")
 def rolling_monitor(spark, d):
-    r = R.rolling(table(spark, d, "events"), ["ts", "event_id"], ["value"], ["event_type"])
-    return r.select("event_id", "observed", F.round("mean_value", 6).alias("mean_value"))
+    # whole hundredths, so that the means are exact
+    e = table(spark, d, "events").withColumn("hundredths", F.floor(F.col("value") * 100 + 0.5).cast("bigint"))
+    return R.rolling(e, ["ts", "event_id"], ["hundredths"], ["event_type"]).select("event_id", "observed", "mean_hundredths")
 
 
 @query("with r as (select event_id, event_type, count(*) over w as observed, avg((value > 20)::int) over w as m from events window w as (partition by event_type order by ts, event_id rows between 255 preceding and current row)) select event_id, event_type from r where observed >= 64 and m < 0.8")
