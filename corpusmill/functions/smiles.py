@@ -211,12 +211,20 @@ def _h(*parts) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(map(str, parts)).encode())
 
 
+@lru_cache(maxsize=10_000)
+def _label_code(label: str, degree: int) -> int:
+    return _h(label, degree) >> 2
+
+
 def _ranks(mol: Mol, adj) -> list[int]:
-    """Morgan-style refinement: equal numbers for atoms alike in their whole surroundings."""
-    code = [_h(_atom_label(a, len(adj[i])), len(adj[i])) for i, a in enumerate(mol.atoms)]
+    """Morgan-style refinement: equal numbers for atoms alike in their whole surroundings. Hashes of
+    whole numbers are the same in every process."""
+    code = [_label_code(_atom_label(a, len(adj[i])), len(adj[i])) for i, a in enumerate(mol.atoms)]
     kinds = len(set(code))
+    ring = [a.aromatic for a in mol.atoms]
+    near = [[(5 if not o and ring[i] and ring[j] else _ORDER[o], j) for j, o, _ in adj[i]] for i in range(len(code))]
     while True:
-        code = [_h(code[i], *sorted(f"{_ORDER[o] if o else 1}{'a' if mol.atoms[i].aromatic and mol.atoms[j].aromatic and not o else ''}:{code[j]:020d}" for j, o, _ in adj[i])) for i in range(len(code))]
+        code = [hash((code[i], *(x for pair in sorted((o, code[j]) for o, j in near[i]) for x in pair))) for i in range(len(code))]
         if len(set(code)) <= kinds:
             return code
         kinds = len(set(code))
@@ -327,8 +335,17 @@ def drawn_from(smiles: str, number: int) -> str:
 def formula(smiles: str | None) -> dict[str, int] | None:
     """Counts by element, hydrogens included; None for malformed text or exceeded valences."""
     mol = parse(smiles)
-    if mol is None:
-        return None
+    return None if mol is None else _counted(mol)
+
+
+def measure(smiles: str | None) -> tuple[dict[str, int], int] | None:
+    """(formula, charge) from one reading; None where formula() is None."""
+    mol = parse(smiles)
+    counts = None if mol is None else _counted(mol)
+    return None if counts is None else (counts, sum(a.charge for a in mol.atoms))
+
+
+def _counted(mol: Mol) -> dict[str, int] | None:
     adj, out = mol.neighbours(), Counter()
     for i, a in enumerate(mol.atoms):
         h = a.hydrogens if a.hydrogens is not None else _default_h(mol, adj, i)

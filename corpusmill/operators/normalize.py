@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import smiles as S
+from corpusmill.session import spread
 
 #: Level bounds in steps.
 EASY_STEPS, MEDIUM_STEPS = 3, 6
@@ -88,7 +89,7 @@ class SmilesKernel(Kernel):
         if not S.valid(bare):
             return None, None, False, "unparseable"
         canon = S.canonical(bare, self.keep_maps)
-        return canon, "SMI:" + S.canonical(bare, False), True, None
+        return canon, "SMI:" + (S.canonical(bare, False) if ":" in bare and self.keep_maps else canon), True, None
 
 
 class TextKernel(Kernel):
@@ -114,7 +115,7 @@ def normalized(values: DataFrame, col: str, kernel: Kernel | None = None) -> Dat
             cols = [list(c) for c in zip(*got)] if got else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.string())], names=[col, "canonical", "mol_key", "ok", "reason"])
 
-    return values.select(F.col(col).cast("string")).distinct().mapInArrow(run, f"`{col}` string, canonical string, mol_key string, ok boolean, reason string")
+    return spread(values.select(F.col(col).cast("string")).distinct(), col).mapInArrow(run, f"`{col}` string, canonical string, mol_key string, ok boolean, reason string")
 
 
 def normalize_list(df: DataFrame, key: str, col: str, kernel: Kernel | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import smiles as S
+from corpusmill.session import spread
 
 #: Similarities below TAU count nothing; a gap or mismatch costs GAP.
 TAU, GAP = 0.60, 1e-6
@@ -101,8 +102,12 @@ def align(gold: list[tuple], pred: list[tuple], similarity=None, same=None) -> t
 
 
 @lru_cache(maxsize=50_000)
-def _canonical(text: str | None) -> str | None:
-    return S.canonical(text) if text and S.valid(text) else None
+def _valid(text: str | None) -> bool:
+    return bool(text) and S.valid(text)
+
+
+def _canonical(text: str) -> str | None:
+    return S.canonical(text)
 
 
 @lru_cache(maxsize=50_000)
@@ -112,9 +117,12 @@ def _bits(text: str | None) -> tuple[int, ...]:
 
 def score(gold: list[tuple], pred: list[tuple]) -> dict:
     """s_total, s_partial, v (valid predictions) and l (matched gold steps), as fractions of two decimals."""
-    g = [(k, _canonical(f) or "", w) for k, f, w in gold]
-    p = [(k, _canonical(f) or "") for k, f in pred]
-    total, partial, actions = align(g, p, lambda a, b: S.tanimoto(list(_bits(a)), list(_bits(b))))
+    g = [(k, f if _valid(f) else "", w) for k, f, w in gold]
+    p = [(k, f if _valid(f) else "") for k, f in pred]
+    # equal texts need no canonical form and no fingerprint
+    same = lambda a, b: bool(a) and (a == b or bool(b) and _canonical(a) == _canonical(b))
+    near = lambda a, b: 1.0 if a == b else S.tanimoto(list(_bits(a)), list(_bits(b)))
+    total, partial, actions = align(g, p, near, same)
     valid, matched = sum(bool(f) for _, f in p), sum(a[0] == "match" for a in actions)
     return {"s_total": round(total, 2), "s_partial": round(partial, 2), "v": round(valid / max(1, len(p)), 2), "l": round(matched / max(1, len(g)), 2), "n_pred": len(p), "n_gold": len(g)}
 
@@ -142,7 +150,7 @@ def scored(rows: DataFrame, key: str, reference: str, output: str) -> DataFrame:
             types = [pa.bool_()] + [pa.float64()] * 4 + [pa.int32()] * 2
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(out, types))], names=[key, "parsed", "s_total", "s_partial", "v", "l", "n_pred", "n_gold"])
 
-    return rows.select(key, reference, F.col(output).cast("string")).mapInArrow(run, f"`{key}` {ddl[key]}, {SCORE}")
+    return spread(rows.select(key, reference, F.col(output).cast("string")), key).mapInArrow(run, f"`{key}` {ddl[key]}, {SCORE}")
 
 
 def parsed_steps(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import smiles as S
+from corpusmill.session import spread
 
 #: The largest change of heavy atoms and charge in one step, the joining tolerance,
 #: and the least shared fraction for trusted and for inferred records.
@@ -30,14 +31,15 @@ def measured(steps: DataFrame, form: str) -> DataFrame:
     def run(batches):
         for b in batches:
             texts = b.column(0).to_pylist()
-            f = [S.formula(t) if S.valid(t) else None for t in texts]
+            got = [S.measure(t) for t in texts]
+            f = [None if x is None else x[0] for x in got]
             heavy = [None if x is None else {k: v for k, v in x.items() if k != "H"} for x in f]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([x is not None for x in f]), pa.array([S.charge(t) if x is not None else None for t, x in zip(texts, f)], pa.int32()), pa.array([None if h is None else sum(h.values()) for h in heavy], pa.int32()), pa.array([None if h is None else sorted(h.items()) for h in heavy], pa.map_(pa.string(), pa.int32()))],
+                [b.column(0), pa.array([x is not None for x in f]), pa.array([None if x is None else x[1] for x in got], pa.int32()), pa.array([None if h is None else sum(h.values()) for h in heavy], pa.int32()), pa.array([None if h is None else sorted(h.items()) for h in heavy], pa.map_(pa.string(), pa.int32()))],
                 names=[form, "parse_ok", "charge", "heavy", "counts"],
             )
 
-    done = steps.select(form).distinct().mapInArrow(run, f"`{form}` string, parse_ok boolean, charge int, heavy int, counts map<string,int>")
+    done = spread(steps.select(form).distinct(), form).mapInArrow(run, f"`{form}` string, parse_ok boolean, charge int, heavy int, counts map<string,int>")
     return steps.join(done.withColumnRenamed(form, "_f"), F.col(form).eqNullSafe(F.col("_f")), "left").drop("_f")
 
 

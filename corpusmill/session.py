@@ -80,6 +80,12 @@ def _drop_stages() -> None:
             pass
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows over as many tasks as the session shuffles into, for work that is costly per row: AQE
+    would merge partitions that are small in bytes into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast df only if it is proven to have at most so many rows; else leave the join to AQE."""
     from pyspark.sql import functions as F
