@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions import smiles as S
+from corpusmill.session import spread
+
+#: Fixed pattern: bracket atoms of the organic subset, of which a skeleton keeps the element only.
+_BARE = re.compile(r"\[\d*(Br|Cl|[BCNOPSFI]|[bcnops])@{0,2}(?:H\d*)?(?:\++\d*|-+\d*)?(?::\d+)?\]")
+#: The only bit of a reaction whose sides set the same bits: two such reactions are alike.
+UNCHANGED = -1
+
 
 def side_key(keys: Column) -> Column:
     """Sorted keys joined by points, null for an empty or null side; null keys are left out."""
@@ -43,6 +54,36 @@ def xor_bits(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(F.array_except(a, b), F.array_except(b, a)))
 
 
+def _by_molecule(values: DataFrame, col: str, one, kind: pa.DataType, ddl: str, out: str) -> DataFrame:
+    """(col, out) by a function of the text, which sees each distinct molecule once."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([one(t) for t in b.column(0).to_pylist()], kind)], names=[col, out])
+
+    return spread(values.select(F.col(col).cast("string")).filter(F.col(col).isNotNull()).distinct(), col).mapInArrow(run, f"`{col}` string, `{out}` {ddl}")
+
+
+def reaction_bits(rows: DataFrame, key: str, reactants: str, products: str, out: str = "fp") -> DataFrame:
+    """Adds the reaction fingerprint of unique keys: the bits of exactly one side, each side the
+    union of its molecules' bits; null if a side has nothing parseable."""
+    side = lambda c, n: F.coalesce(F.transform(c, lambda m: F.struct(F.lit(n).alias("side"), m.alias("m"))), F.array())
+    parts = rows.select(key, F.explode(F.concat(side(reactants, 0), side(products, 1))).alias("x")).select(key, "x.side", "x.m")
+    done = _by_molecule(parts, "m", lambda t: S.fingerprint_bits(t) if S.valid(t) else None, pa.list_(pa.int32()), "array<int>", "bits").filter("bits is not null")
+    of = lambda n: union_bits(F.collect_list(F.when(F.col("side") == n, F.col("bits"))))
+    sides = parts.join(done, "m").groupBy(key).agg(of(0).alias("_r"), of(1).alias("_p")).filter((F.size("_r") > 0) & (F.size("_p") > 0))
+    bits = sides.select(key, xor_bits(F.col("_r"), F.col("_p")).alias(out)).withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(F.array(F.lit(UNCHANGED))))
+    return rows.join(bits, key, "left")
+
+
+def product_bucket(rows: DataFrame, key: str, products: str, out: str = "bucket") -> DataFrame:
+    """Adds the smallest of the products' skeletons (canonical text without charges, hydrogens,
+    isotopes and stereo marks), for unique keys; null without a parseable product."""
+    parts = rows.select(key, F.explode(products).alias("m"))
+    done = _by_molecule(parts, "m", lambda t: S.canonical(_BARE.sub(r"\1", t)) if S.valid(t) else None, pa.string(), "string", "_s")
+    return rows.join(parts.join(done, "m").groupBy(key).agg(F.min("_s").alias(out)), key, "left")
+
+
 def tanimoto(a: Column, b: Column) -> Column:
     """Shared over all bits, 1.0 for two empty sets."""
     both, whole = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))

@@ -118,16 +118,21 @@ def validate_phase(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def featured(records: DataFrame) -> DataFrame:
-    """Signature, skeleton, step hash: computed once, used by decontamination and dedup."""
+    """Signature, skeleton, step hash, reaction fingerprint and product bucket: computed once, used
+    by decontamination and dedup."""
     sig = FT.signature(F.col("reactants_keys"), F.col("products_keys"))
     skel = FT.signature(FT.skeleton(F.col("reactants_keys")), FT.skeleton(F.col("products_keys")))
-    return records.withColumn("sig", sig).withColumn("skel", skel).withColumn("step_hash", FT.step_hash(F.col("steps"), "subtype", "smiles"))
+    out = records.withColumn("sig", sig).withColumn("skel", skel).withColumn("step_hash", FT.step_hash(F.col("steps"), "subtype", "smiles"))
+    bits = FT.reaction_bits(out, "record_id", "reactants", "products")
+    # without a signature a record is in no bucket
+    bits = FT.product_bucket(bits, "record_id", "products").withColumn("bucket", F.when(F.col("sig").isNotNull(), F.col("bucket")))
+    return staged(bits, "featured")
 
 
 def decontaminate_phase(run: Run, records: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Records without those the benchmark contains; fails if any leak remains."""
-    f, b = featured(records), featured(benchmark).select("sig", "skel", F.col("step_hash").alias("steps"))
-    judged = run.keep(D.reasons(f.withColumnRenamed("steps", "_steps").withColumnRenamed("step_hash", "steps"), b, "record_id"), "judged")
+    f, b = featured(records), featured(benchmark).select("sig", "skel", F.col("step_hash").alias("steps"), "fp")
+    judged = run.keep(D.reasons(f.withColumnRenamed("steps", "_steps").withColumnRenamed("step_hash", "steps"), b, "record_id", "19/20", "fp"), "judged")
     kept, removed = D.split_clean(judged)
     leaks = D.leaks(kept, b).first()["leaks"]
     run.gates["decontaminate"] = gate("decontaminate", judged.agg(F.count("*").alias("candidates"), F.count("reason").alias("removed"))) | {"leaks": leaks}
@@ -137,9 +142,10 @@ def decontaminate_phase(run: Run, records: DataFrame, benchmark: DataFrame) -> D
 
 
 def dedup_phase(run: Run, records: DataFrame) -> DataFrame:
-    """One record of each cluster of equal signatures or step hashes."""
-    clustered = U.clusters(records, "record_id", ["sig", "step_hash"])
-    out = run.keep(U.representatives(records, clustered, "record_id", [U.provenance_rank(F.col("provenance")).desc(), F.size("steps").desc()]).drop("cluster"), "deduped")
+    """One record of each cluster of equal signatures, equal step hashes or similar fingerprints
+    within a product bucket."""
+    clustered = U.clusters(records, "record_id", ["sig", "step_hash"], "fp", "97/100", "bucket")
+    out = run.keep(U.representatives(records, clustered, "record_id", [U.provenance_rank(F.col("provenance")).desc(), F.size("steps").desc()]).drop("cluster", "fp", "bucket"), "deduped")
     run.gates["dedup"] = gate("dedup", out.agg(F.count("*").alias("kept")))
     return out
 

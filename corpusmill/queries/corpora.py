@@ -58,6 +58,35 @@ def decon_leak_postcheck(spark, d):
     return D.leaks(D.split_clean(judged)[0], _featured(spark, d).filter("split = 'test'"))
 
 
+def _fingerprinted(spark, d):
+    """Records with their reaction fingerprint besides signature, skeleton and step hash."""
+    trim = lambda c: F.transform(c, lambda x: F.trim(x)).alias(c)
+    sides = records(spark, d).select("record_no", trim("reactants_smiles"), trim("products_smiles"))
+    f = _featured(spark, d).join(sides, "record_no")
+    return FT.reaction_bits(f, "record_no", "reactants_smiles", "products_smiles")
+
+
+def _judged_by_all(spark, d):
+    f = staged(_fingerprinted(spark, d).drop("reactants_smiles", "products_smiles"), "fingerprinted")
+    return D.reasons(f.filter("split = 'train'"), f.filter("split = 'test'"), "record_no", "19/20", "fp")
+
+
+@query()
+def decon_fp_reasons(spark, d):
+    """Exact stages, then reaction fingerprints of at least 0.95 similarity (decon_reasons: exact stages only)."""
+    return D.split_clean(_judged_by_all(spark, d))[1].select("record_no", "reason")
+
+
+@query()
+def decon_fp_kept(spark, d):
+    return D.split_clean(_judged_by_all(spark, d))[0].select("record_no")
+
+
+@query()
+def decon_fp_report(spark, d):
+    return D.report(_judged_by_all(spark, d))
+
+
 _SHINGLES = r"""words as (select {key} as key, {by} as part, list_filter(regexp_split_to_array(lower(coalesce({text}, '')), '\s+'), lambda w: w <> '') as w from {table}),
 raw as (select key, part, case when len(w) >= 5 then list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) else [array_to_string(w, ' ')] end as x from words where len(w) > 0),
 sets as (select min(key) as key, any_value(x) as x from raw group by part, list_sort(x))"""
@@ -131,6 +160,25 @@ def dedup_representative(spark, d):
     return best.select("cluster", "record_no", "provenance")
 
 
+def _clustered_by_all(spark, d):
+    f = FT.product_bucket(_fingerprinted(spark, d), "record_no", "products_smiles").drop("reactants_smiles", "products_smiles")
+    f = staged(f.withColumn("bucket", F.when(F.col("sig").isNotNull(), F.col("bucket"))), "fingerprinted")
+    return f, U.clusters(f, "record_no", ["sig", "steps"], "fp", "97/100", "bucket")
+
+
+@query()
+def dedup_fp_representative(spark, d):
+    """As dedup_representative, with fingerprints of at least 0.97 similarity in a product bucket as links, too."""
+    f, c = _clustered_by_all(spark, d)
+    best = U.representatives(f, c, "record_no", [U.provenance_rank(F.col("provenance")).desc(), F.col("mechanism_step_nums").desc_nulls_last()])
+    return best.select("cluster", "record_no", "provenance")
+
+
+@query()
+def dedup_fp_cluster_sizes(spark, d):
+    return U.size_distribution(_clustered_by_all(spark, d)[1])
+
+
 @query(_EDGES + ", s as (select cluster, count(*) as cluster_size from clustered group by 1) select cluster_size, count(*) as clusters from s group by 1")
 def dedup_cluster_sizes(spark, d):
     return U.size_distribution(_clustered(spark, d)[1])

@@ -84,3 +84,41 @@ def test_decontamination_controls(spark):
     kept, removed = D.split_clean(judged)
     assert kept.count() == 2 and removed.count() == 4 and D.leaks(kept, gold).first()[0] == 0
     assert D.split_clean(D.reasons(gold, gold, "id", fingerprint="fp"))[0].count() == 0  # all of the benchmark itself is caught
+
+
+def test_pipeline_compares_reaction_fingerprints(spark):
+    """The same reaction with a spectator twice differs in signature and steps only: removed by its
+    fingerprint, against the benchmark and among the records themselves."""
+    from pyspark.sql import functions as F
+
+    from corpusmill.functions import smiles as S
+    from corpusmill.operators import features as FT
+    from corpusmill.plans import pipeline as PL
+
+    acid, ester = "CCCC(=O)O", "CCCC(=O)OC"
+    gold = [("g1", [acid, "CO"], [ester, "O"])]
+    rows = [
+        ("a", [acid, acid, "CO"], [ester, "O"]),  # as the benchmark's, one reactant twice
+        ("b", ["c1ccccc1C(=O)Cl", "NC"], ["c1ccccc1C(=O)NC", "Cl"]),
+        ("c", ["c1ccccc1C(=O)Cl", "NC", "NC"], ["c1ccccc1C(=O)NC", "Cl"]),  # as b, one reactant twice
+        ("d", ["CC#N"], ["CCN"]),
+    ]
+
+    def frame(data):
+        made = [(k, "s", "CC0", "curated", "easy", k, r, p, None, [("step", "x", f"{'C' * (i + 2)}O")]) for i, (k, r, p) in enumerate(data)]
+        return PL.normalize_phase(PL.Run(), spark.createDataFrame(made, PL.RECORD))
+
+    run = PL.Run()
+    # another step than any of the records'
+    bench = frame(gold).withColumn("steps", F.transform("steps", lambda s: s.withField("smiles", F.lit("N"))))
+    kept = PL.decontaminate_phase(run, frame(rows), bench)
+    assert {r["record_id"] for r in kept.collect()} == {"b", "c", "d"} and run.gates["decontaminate"]["removed"] == 1
+    out = PL.dedup_phase(run, kept)
+    assert {r["record_id"] for r in out.collect()} == {"b", "d"} and not {"fp", "bucket"} & set(out.columns)
+    sides = spark.createDataFrame([(1, ["CO"], ["CO"]), (2, ["CO", "?"], ["CN"]), (3, ["?"], ["CN"]), (4, None, ["CN"])], "id int, r array<string>, p array<string>")
+    bits = {r["id"]: r["fp"] for r in FT.reaction_bits(sides, "id", "r", "p").collect()}
+    one, two = (set(S.fingerprint_bits(x)) for x in ("CO", "CN"))
+    assert bits == {1: [FT.UNCHANGED], 2: sorted(one ^ two), 3: None, 4: None}
+    salts = spark.createDataFrame([(1, ["CC(=O)[O-]"]), (2, ["OC(C)=O"]), (3, ["CCO"])], "id int, p array<string>")
+    b = {r["id"]: r["bucket"] for r in FT.product_bucket(salts, "id", "p").collect()}
+    assert b[1] == b[2] != b[3]
