@@ -390,6 +390,91 @@ def tanimoto(a: list[int] | None, b: list[int] | None) -> float | None:
     return 1.0 if not x and not y else len(x & y) / len(x | y)
 
 
+def largest_fragment(smiles: str) -> str:
+    """The part between points with the most heavy atoms, the first of equals."""
+    parts = [p for p in smiles.split(".") if p]
+    return max(parts, key=lambda p: heavy_atoms(p) or 0) if len(parts) > 1 else smiles
+
+
+def _heavy_graph(mol: Mol) -> tuple[list[str], list[list[tuple[int, bool]]]]:
+    """Elements and (neighbour, whether the bond is in a ring) of the heavy atoms."""
+    ringed = {frozenset((r[i], r[i - 1])) for r in _tree_rings(mol) for i in range(len(r))}
+    at = {x: i for i, x in enumerate(k for k, a in enumerate(mol.atoms) if a.element != "H")}
+    near: list[list[tuple[int, bool]]] = [[] for _ in at]
+    for a, b, _ in mol.bonds:
+        if a in at and b in at:
+            near[at[a]].append((at[b], frozenset((a, b)) in ringed))
+            near[at[b]].append((at[a], frozenset((a, b)) in ringed))
+    return [mol.atoms[x].element for x in at], near
+
+
+def shared_fraction(a: str | None, b: str | None, enough: float = 1.0, most: int = 20_000) -> float | None:
+    """Heavy atoms of a connected common substructure over those of the smaller molecule.
+
+    Atoms match by element, bonds by being in a ring or not. The search ends as soon as enough is
+    reached; below that the result only tells that enough is out of reach. None for malformed text,
+    no heavy atoms, or if it is unknown after so many extensions.
+    """
+    p, q = parse(a), parse(b)
+    if p is None or q is None:
+        return None
+    (ea, na), (eb, nb) = _heavy_graph(p), _heavy_graph(q)
+    smaller = min(len(ea), len(eb))
+    if not smaller:
+        return None
+    need = next(k for k in range(1, smaller + 1) if k / smaller >= enough or k == smaller)
+    free_a, free_b = Counter(ea), Counter(eb)
+    image: dict[int, int] = {}
+    used: set[int] = set()
+    banned: set[tuple[int, int]] = set()
+    best, left = 0, most
+
+    def pairs() -> list[tuple[int, int]]:
+        if not image:
+            return sorted(((x, y) for x in range(len(ea)) for y in range(len(eb)) if ea[x] == eb[y]), key=lambda t: (abs(len(na[t[0]]) - len(nb[t[1]])), t))
+        found = {(x, y) for m, i in image.items() for x, r in na[m] if x not in image for y, t in nb[i] if t == r and y not in used and ea[x] == eb[y]}
+        return sorted(found - banned, key=lambda t: (abs(len(na[t[0]]) - len(nb[t[1]])), t))
+
+    def extend() -> bool:
+        """Whether enough was reached; the pairs tried before are left out of what is tried after."""
+        nonlocal best, left
+        best = max(best, len(image))
+        if best >= need:
+            return True
+        if len(image) + sum(min(n, free_b[e]) for e, n in free_a.items()) < need:
+            return False
+        tried = []
+        for x, y in pairs():
+            if left <= 0:
+                break
+            left -= 1
+            image[x] = y
+            used.add(y)
+            free_a[ea[x]] -= 1
+            free_b[eb[y]] -= 1
+            if extend():
+                return True
+            del image[x]
+            used.remove(y)
+            free_a[ea[x]] += 1
+            free_b[eb[y]] += 1
+            banned.add((x, y))
+            tried.append((x, y))
+        banned.difference_update(tried)
+        return False
+
+    return best / smaller if extend() or left > 0 else None
+
+
+def continuous(before: str, after: str, enough: float) -> float | None:
+    """The larger shared fraction of the largest fragments and of the whole texts; None if unknown."""
+    main = shared_fraction(largest_fragment(before), largest_fragment(after), enough)
+    if main is not None and main >= enough:
+        return main
+    known = [x for x in (main, shared_fraction(before, after, enough)) if x is not None]
+    return max(known) if known else None
+
+
 _RING_OR_BRACKET = re.compile(r"\[[^\]]*\]|%\d\d|\d")
 _MAPPED = re.compile(r":\d+\]")
 #: A Kekulé ring's first atom is double-bonded to the next one or to the closing one, or is a heteroatom.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import smiles as S
-from corpusmill.session import spread
+from corpusmill.session import spread, staged
 
 #: The largest change of heavy atoms and charge in one step, the joining tolerance,
 #: and the least shared fraction for trusted and for inferred records.
@@ -49,27 +49,68 @@ def count_delta(a: Column, b: Column) -> Column:
     return F.aggregate(F.map_values(zipped), F.lit(0), lambda s, x: s + x)
 
 
-def step_reasons(steps: DataFrame, key: str, pos: str, form: str, shared: Column | None = None, floor: float = SHARED_TRUSTED) -> DataFrame:
+def shared_fractions(pairs: DataFrame) -> DataFrame:
+    """(before, after, floor, shared), each distinct pair of structures once; shared is null where unknown."""
+
+    def run(batches):
+        for b in batches:
+            got = [S.continuous(*x) for x in zip(*(c.to_pylist() for c in b.columns))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=["before", "after", "floor", "shared"])
+
+    return spread(pairs.select("before", "after", "floor").distinct(), "before", "after").mapInArrow(run, "before string, after string, floor double, shared double")
+
+
+def seeds(steps: DataFrame, start: DataFrame, key: str, pos: str) -> DataFrame:
+    """(key, floor, seed, sizes, whole) out of (key, reactants, provenance), keys unique: the least
+    shared fraction, the formula and charge of the reactant nearest to the first step, all reactants'
+    heavy atoms, and their text."""
+    first = steps.groupBy(key).agg(F.min_by("counts", pos).alias("_first"))
+    parts = start.select(key, F.posexplode("reactants").alias("i", "m"))
+    known = measured(parts, "m").filter("parse_ok").join(first, key)
+    far = count_delta(F.col("counts"), F.col("_first"))
+    best = known.groupBy(key).agg(F.min_by(F.struct("counts", "charge"), F.when(far.isNotNull(), F.struct(far, "i"))).alias("seed"), F.collect_list("heavy").alias("sizes"))
+    floor = F.when(F.col("provenance") == "inferred", SHARED_INFERRED).otherwise(SHARED_TRUSTED)
+    return start.select(key, floor.alias("floor"), F.array_join("reactants", ".").alias("whole")).join(best, key, "left")
+
+
+def step_reasons(steps: DataFrame, key: str, pos: str, form: str, shared: Column | None = None, floor: float = SHARED_TRUSTED, start: DataFrame | None = None) -> DataFrame:
     """Adds reason to measured steps: null, or the first thing wrong with the step.
 
     Each step is compared with the one before it by lag; an unparseable step is reported and the
     next one is then compared with nothing. A large change still passes if the shared fraction
     (a column, null meaning unknown) reaches the floor or is unknown when given. Positions count
     from 0, reasons name steps from 1.
+
+    With start (key, reactants, provenance; keys unique) the first step is compared with the reactant
+    nearest to it, and a large change passes if it is the size of a reactant that joins or leaves,
+    or if the structures share enough; that is computed for these few pairs only.
     """
+    if start is not None:
+        steps = staged(steps, "steps-measured")  # read twice, for the seeds, too
     w = Window.partitionBy(key).orderBy(pos)
     ok = F.coalesce(F.col("parse_ok"), F.lit(False))
     n = (F.col(pos) + 1).cast("string")
     before = steps.withColumn("_form", F.lag(form).over(w)).withColumn("_ok", F.lag(ok).over(w)).withColumn("_counts", F.lag("counts").over(w)).withColumn("_charge", F.lag("charge").over(w))
     delta, jump = count_delta(F.col("_counts"), F.col("counts")), F.abs(F.col("charge") - F.col("_charge"))
     fine = (delta <= HEAVY_DELTA) if shared is None else (delta <= HEAVY_DELTA) | F.coalesce(shared >= floor, F.lit(True))
+    if start is not None:
+        at_start = F.row_number().over(w) == 1
+        before = before.withColumn("_start", at_start).join(seeds(steps, start, key, pos), key, "left")
+        for c, seed in (("_ok", F.col("seed").isNotNull()), ("_counts", F.col("seed.counts")), ("_charge", F.col("seed.charge"))):
+            before = before.withColumn(c, F.when(F.col("_start"), seed).otherwise(F.col(c)))
+        joined = F.coalesce(F.exists("sizes", lambda s: F.abs(delta - s) <= JOIN_TOLERANCE), F.lit(False))
+        before = staged(before.withColumn("_small", (delta <= HEAVY_DELTA) | joined).withColumn("_before", F.when(F.col("_start"), F.col("whole")).otherwise(F.col("_form"))).withColumn("floor", F.coalesce("floor", F.lit(SHARED_TRUSTED))), "steps-before")
+        costly = before.filter(ok & F.col("_ok") & ~F.col("_small")).select(F.col("_before").alias("before"), F.col(form).alias("after"), "floor")
+        found = shared_fractions(costly).withColumnsRenamed({"before": "_before", "after": form, "floor": "floor"})
+        before = before.join(found, ["_before", form, "floor"], "left").select(*before.columns, "shared")
+        fine = F.col("_small") | F.coalesce(F.col("shared") >= F.col("floor"), F.lit(True))
     why = (
         F.when(~ok, F.concat(F.lit("balance_unparseable:step"), n))
         .when(F.col("_form") == F.col(form), F.concat(F.lit("noop_step:step"), n))
         .when(F.col("_ok") & ~fine, F.concat(F.lit("discontinuous_step:step"), n, F.lit("(heavy_delta="), delta.cast("string"), F.lit(")")))
         .when(F.col("_ok") & (jump > CHARGE_DELTA), F.concat(F.lit("charge_jump:step"), n, F.lit("(delta="), jump.cast("string"), F.lit(")")))
     )
-    return before.withColumn("reason", why).drop("_form", "_ok", "_counts", "_charge")
+    return before.withColumn("reason", why).select(*steps.columns, "reason")
 
 
 def checks(judged: DataFrame, key: str) -> DataFrame:

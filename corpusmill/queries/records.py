@@ -155,7 +155,9 @@ def seed_step(spark, d):
 
 
 def _judged(spark, d):
-    return V.step_reasons(V.measured(steps(spark, d), "smiles"), "row_id", "pos", "smiles")
+    own = records(spark, d).select("record_no", F.transform("reactants_smiles", lambda m: F.trim(m)).alias("reactants"), "provenance")
+    start = full_rows(spark, d).select("row_id", "record_no").join(own, "record_no").drop("record_no")
+    return V.step_reasons(V.measured(steps(spark, d), "smiles"), "row_id", "pos", "smiles", start=start)
 
 
 @query()

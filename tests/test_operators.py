@@ -53,6 +53,27 @@ def test_step_reasons(spark):
     assert V.step_reasons(V.measured(spark.createDataFrame(rows, "id int, pos int, smiles string"), "smiles"), "id", "pos", "smiles", F.lit(0.5)).filter("reason like 'disc%'").count() == 0
 
 
+def test_continuity_of_large_changes(spark):
+    """A joining reactant, a shared scaffold and an unlike seed: the change in size alone is the same."""
+    acyl, amine = "CCCCC(=O)Cl", "NCCCCCCCO"
+    big = "CCCCC(=O)NCCCCCCCO"
+    rows = [
+        (1, [acyl, amine], "curated", [acyl, big]),  # the amine joins: its 9 atoms
+        (2, ["CCCCCCCC"], "curated", ["CCCCCCCC", "CCCCCCCCOC(=O)C(F)(F)F"]),  # a group of 7 from nowhere on the same chain
+        (3, ["CCCCCCCC"], "curated", ["CCCCCCCC", "FC(F)(F)S(=O)(=O)Br"]),  # nothing of the chain is left
+        (4, ["BrBr"], "curated", ["CCCCCCCC"]),  # not out of its reactant
+        (5, ["NCCCCCOCC"], "inferred", ["NCCCCCOCC", "NCCCSSSSSS"]),  # 4 of 9 atoms
+        (6, ["NCCCCCOCC"], "curated", ["NCCCCCOCC", "NCCCSSSSSS"]),
+        (7, None, "curated", ["CO", "CCCCCCCCCCO"]),  # no reactants known; the step holds the other whole
+    ]
+    start = spark.createDataFrame([r[:3] for r in rows], "id int, reactants array<string>, provenance string")
+    steps = spark.createDataFrame([(r[0], i, m) for r in rows for i, m in enumerate(r[3])], "id int, pos int, smiles string")
+    judged = V.step_reasons(V.measured(steps, "smiles"), "id", "pos", "smiles", start=start)
+    assert judged.count() == steps.count()
+    bad = {(r["id"], r["reason"].split("(")[0]) for r in judged.filter("reason is not null").collect()}
+    assert bad == {(3, "discontinuous_step:step2"), (4, "discontinuous_step:step1"), (5, "discontinuous_step:step2")}
+
+
 def test_expansion(spark):
     assert X.substitute("C([*:1])=O", {1: "CC"}) == "C(CC)=O" and X.substitute("[*:1]C(=O)[*:2]", {1: "c1ccccc1"}) is not None
     assert X.substitute("C([*:1])=O", {}) == "C=O" and X.substitute("[*:1]", {1: "C"}) is None

@@ -50,3 +50,12 @@ def test_random_text_never_crashes():
     for _ in range(3000):
         t = "".join(rng.choice("CNO()=#1234[]+-cnHBrl.%/:* ") for _ in range(rng.randrange(14)))
         S.valid(t), S.canonical(t), S.plain_drawing(t), S.formula(t)
+
+
+def test_shared_fraction():
+    assert S.shared_fraction("CCO", "OCC") == 1.0 and S.shared_fraction("CCCC", "NNNN") == 0.0
+    assert S.shared_fraction("C1CCCCC1", "CCCCCC") == 1 / 6  # ring bonds match ring bonds only
+    assert S.shared_fraction("?", "CC") is None and S.shared_fraction("[H][H]", "CC") is None
+    assert S.shared_fraction("CCN(CC)CC", "CCNCC", 0.5) >= 0.5
+    assert S.shared_fraction("CC(C)CCCOCCC(O)C", "CCCCCCCCC(O)O", 1.0, 50) is None
+    assert S.continuous("CCCCCC.BrC(Br)(Br)Br", "CCCCCCO.BrC(Br)(Br)Br", 0.9) == 1.0
