@@ -148,22 +148,23 @@ def contained(children: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def typed(node_table: DataFrame, kind: str, fields: str, under: str | None = None) -> DataFrame:
-    """The flat table of one kind: places, the parent's place, and the fields (a DDL string)."""
+    """The flat table of one kind: places, the parent's place, the fields (a DDL string), the interval,
+    and the body with whatever isn't among the fields."""
     own = node_table.filter(F.col("kind") == kind)
     if under is not None:
         own = contained(own, node_table.filter(F.col("kind") == under))
     else:
         own = own.withColumn("parent_path", F.lit(None).cast("string"))
-    return own.withColumn("f", F.from_json("body", fields)).select("parent_key", "pos_path", "parent_path", "f.*")
+    return own.withColumn("f", F.from_json("body", fields)).select("parent_key", "pos_path", "parent_path", "f.*", "pre", "post", "body")
 
 
 #: The fields of each kind, as DDL for from_json.
 FIELDS = {
-    "step": "step int, type string, subtype string, intermediate_smiles string, rationale string",
-    "arrow": "`from` struct<atom:int,kind:string>, `to` struct<atom:int>, electrons int",
+    "step": "step int, type string, subtype string, intermediate_smiles string, rationale string, checks struct<charge:struct<before:int,after:int>>",
+    "arrow": "`from` struct<atom:int,kind:string>, `to` struct<atom:int,bond:array<int>>, electrons int",
     "species": "smiles string, role string",
     "evidence": "kind string, ref struct<`table`:string,row:int>",
-    "gate": "status string",
+    "gate": "phase string, status string",
     "input": "source string, rows bigint, license struct<label:string,tier:string>",
     "check": "name string, value double",
     "failure": "reaction_id string, reason struct<code:string,detail:struct<step:int>>",

@@ -1,6 +1,11 @@
 import json
 
+import pytest
+
 from corpusmill.operators import nested as N
+from corpusmill.queries import load
+
+QUERIES = load()
 
 STEP = {"step": 1, "subtype": "x", "arrows": [{"from": {"atom": 1}}, None, {"from": {"atom": 2}}], "species": [{"smiles": "O", "evidence": [{"kind": "ir"}, {"kind": "nmr"}]}, {"smiles": "C", "evidence": {"kind": "ms"}}]}
 WANT = {("step", "0"), ("arrow", "0.0"), ("arrow", "0.2"), ("species", "0.0"), ("evidence", "0.0.0"), ("evidence", "0.0.1"), ("species", "0.1"), ("evidence", "0.1.0")}
@@ -48,6 +53,28 @@ def test_intervals_nest(spark):
     assert N.typed(one, "step", N.FIELDS["step"]).first()["subtype"] == "x"
 
 
+def test_typed_tables_keep_all_fields(spark):
+    step = {"step": 1, "checks": {"charge": {"before": 0, "after": -1}}, "later": [1], "arrows": [{"from": {"atom": 1, "kind": "lone"}, "to": {"atom": 2, "bond": [2, 3]}, "electrons": 2}]}
+    one = N.mechanism_nodes(spark.createDataFrame([(1, json.dumps([step]))], "record_no bigint, mechanism string"))
+    s, a = N.typed(one, "step", N.FIELDS["step"]).first(), N.typed(one, "arrow", N.FIELDS["arrow"], "step").first()
+    assert (s["checks"]["charge"]["before"], s["checks"]["charge"]["after"]) == (0, -1) and json.loads(s["body"])["later"] == [1]
+    assert a["to"]["bond"] == [2, 3] and a["to"]["atom"] == 2 and s["pre"] < a["pre"] < a["post"] < s["post"]
+
+
+@pytest.mark.parametrize("kind", list(N.FIELDS))
+def test_fields_hold_what_the_tables_hold(spark, data, kind):
+    """Every leaf of a body stands in the typed columns, too."""
+
+    def leaves(x, at=""):
+        if isinstance(x, dict):
+            return {v for k, y in x.items() for v in leaves(y, f"{at}.{k}")}
+        return set() if x is None else {(at, json.dumps(x))}
+
+    for r in QUERIES[f"p3_{kind}_table"](spark, data).collect():
+        typed = {k: v for k, v in r.asDict(True).items() if k not in ("parent_key", "pos_path", "parent_path", "pre", "post", "body")}
+        assert leaves(json.loads(r["body"])) <= leaves(typed)
+
+
 def test_empty_table(spark):
     assert N.mechanism_nodes(spark.createDataFrame([], "record_no bigint, mechanism string")).count() == 0
     assert N.gate_nodes(spark.createDataFrame([], "card_no bigint, gates string")).count() == 0
