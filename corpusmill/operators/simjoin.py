@@ -80,13 +80,17 @@ def similar_pairs(sets: DataFrame, key: str, items: str, tau: str | Fraction, by
     return _verified(cand, kept.select(F.col(key).alias("a"), F.col("x").alias("xa")), kept.select(F.col(key).alias("b"), F.col("x").alias("xb")), tau)
 
 
-def similar_to(left: DataFrame, right: DataFrame, key: str, items: str, tau: str | Fraction) -> DataFrame:
-    """(key, best) of left sets whose best similarity with any right set is at least tau."""
+def similar_matches(left: DataFrame, right: DataFrame, key: str, items: str, tau: str | Fraction) -> DataFrame:
+    """(a, b, similarity) of left and right sets with a similarity of at least tau."""
     tau = Fraction(tau)
     l = staged(left.filter(F.size(items) > 0).select(key, F.col(items).alias("x")), "sets")
     r = staged(right.filter(F.size(items) > 0).select(key, F.col(items).alias("x")), "sets")
     order = _frequencies(l.select(F.explode(F.array_distinct("x")).alias("item")), r.select(F.explode(F.array_distinct("x")).alias("item")))
     a = _prefixed(l, key, "x", tau, [], order).select(F.col(key).alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), "token")
     b = _prefixed(r, key, "x", tau, [], order).select(F.col(key).alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), "token")
-    found = _verified(_candidates(a, b, ["token"], tau, False), l.select(F.col(key).alias("a"), F.col("x").alias("xa")), r.select(F.col(key).alias("b"), F.col("x").alias("xb")), tau)
-    return found.groupBy(F.col("a").alias(key)).agg(F.max("similarity").alias("best"))
+    return _verified(_candidates(a, b, ["token"], tau, False), l.select(F.col(key).alias("a"), F.col("x").alias("xa")), r.select(F.col(key).alias("b"), F.col("x").alias("xb")), tau)
+
+
+def similar_to(left: DataFrame, right: DataFrame, key: str, items: str, tau: str | Fraction) -> DataFrame:
+    """(key, best) of left sets whose best similarity with any right set is at least tau."""
+    return similar_matches(left, right, key, items, tau).groupBy(F.col("a").alias(key)).agg(F.max("similarity").alias("best"))

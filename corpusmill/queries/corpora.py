@@ -125,11 +125,25 @@ def bucket_pairs(spark, d):
 select a as vec_id, round(max(k / (len(p.x) + len(q.x) - k)), 9)::double as best from shared join bits p on a = p.vec_id join bits q on b = q.vec_id where k * 2 >= len(p.x) + len(q.x) - k group by 1"""
 )
 def sim_join_bits(spark, d):
-    """The stated query set (ids divisible by 50) against all other vectors."""
+    """The stated query set (ids divisible by 50) against the vectors outside it, as its SQL says;
+    sim_search_bits searches all vectors."""
     b = _bits(spark, d)
     return J.similar_to(b.filter("vec_id % 50 = 0"), b.filter("vec_id % 50 != 0"), "vec_id", "x", "1/2").select("vec_id", F.round("best", 9).alias("best"))
 
 
+@query(
+    f"""with {_BITS}, inv as (select vec_id, unnest(x) as s, vec_id % 50 = 0 as q from bits), shared as (select a.vec_id as a, b.vec_id as b, count(*) as k from inv a join inv b on a.s = b.s where a.q and a.vec_id <> b.vec_id group by 1, 2),
+hits as (select a, b, round(k / (len(p.x) + len(q.x) - k), 9)::double as similarity from shared join bits p on a = p.vec_id join bits q on b = q.vec_id where k * 2 >= len(p.x) + len(q.x) - k)
+select a as vec_id, max(similarity) as best, arg_min(b, (-similarity, b)) as partner, count(*) as hits from hits group by 1"""
+)
+def sim_search_bits(spark, d):
+    """The stated query set (ids divisible by 50) against all vectors but the row itself: the best
+    similarity, its partner (the smallest id of equals) and the number of hits."""
+    b = _bits(spark, d)
+    found = J.similar_matches(b.filter("vec_id % 50 = 0"), b, "vec_id", "x", "1/2").filter("a != b").withColumn("similarity", F.round("similarity", 9))
+    return found.groupBy(F.col("a").alias("vec_id")).agg(F.max("similarity").alias("best"), F.min_by("b", F.struct(-F.col("similarity"), "b")).alias("partner"), F.count("*").alias("hits"))
+
+
 _EDGES = f"""with recursive {_FEATURED}, nodes as (select record_no, sig, steps from featured),
 star as (select min(record_no) over (partition by sig) as a, record_no as b from nodes where sig is not null union select min(record_no) over (partition by steps), record_no from nodes where steps is not null),
 links as (select a, b from star where a <> b union select b, a from star where a <> b),

@@ -122,3 +122,12 @@ def test_pipeline_compares_reaction_fingerprints(spark):
     salts = spark.createDataFrame([(1, ["CC(=O)[O-]"]), (2, ["OC(C)=O"]), (3, ["CCO"])], "id int, p array<string>")
     b = {r["id"]: r["bucket"] for r in FT.product_bucket(salts, "id", "p").collect()}
     assert b[1] == b[2] != b[3]
+
+
+def test_search_finds_queries_among_each_other(spark, tmp_path):
+    from corpusmill.queries import load
+
+    rows = [(0, "a", [1.0, 1.0, 1.0, -1.0]), (50, "a", [1.0, 1.0, 1.0, 1.0]), (51, "a", [1.0, 1.0, -1.0, -1.0]), (52, "a", [-1.0, -1.0, -1.0, 1.0])]
+    spark.createDataFrame(rows, "vec_id bigint, label string, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {tuple(r) for r in load()["sim_search_bits"](spark, str(tmp_path)).collect()}
+    assert got == {(0, 0.75, 50, 2), (50, 0.75, 0, 2)}
