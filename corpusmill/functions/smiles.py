@@ -9,6 +9,7 @@ these purposes, not bit-identical to one.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -180,6 +181,33 @@ def aromatize(mol: Mol) -> set[int]:
     return touched
 
 
+#: Elements that take a double bond in place of a charge, and those on its other end.
+_CENTRES, _ENDS = frozenset(("N", "P", "S", "Se", "As", "Cl", "Br", "I")), frozenset(("O", "S", "Se", "N", "C"))
+_RAISED = {"": "=", "-": "=", "/": "=", "\\": "=", "=": "#"}
+
+
+def uncharge(mol: Mol) -> list[int]:
+    """Draw neighbours of opposite charge (nitro groups, N-oxides, azides, sulfoxides) with a bond of
+    the next order and without the charges; gives the bonds raised."""
+    raised: list[int] = []
+    if not any(a.charge > 0 for a in mol.atoms):
+        return raised
+    for k, (a, b, o) in enumerate(mol.bonds):
+        for x, y in ((mol.atoms[a], mol.atoms[b]), (mol.atoms[b], mol.atoms[a])):
+            if x.charge > 0 > y.charge and x.element in _CENTRES and y.element in _ENDS and o in _RAISED and not (x.aromatic and y.aromatic):
+                x.charge, y.charge = x.charge - 1, y.charge + 1
+                mol.bonds[k] = (a, b, _RAISED[o])
+                raised.append(k)
+                break
+    if raised:
+        adj = mol.neighbours()
+        for i in {x for k in raised for x in mol.bonds[k][:2]}:
+            atom = mol.atoms[i]
+            if not atom.charge and atom.hydrogens is not None and not atom.isotope and _default_h(mol, adj, i) == atom.hydrogens:
+                atom.hydrogens = None
+    return raised
+
+
 def _atom_label(a: Atom, degree: int) -> str:
     el = a.element.lower() if a.aromatic else a.element
     h = "" if a.hydrogens is None else f"H{a.hydrogens}"
@@ -217,14 +245,13 @@ def _label_code(label: str, degree: int) -> int:
 
 
 def _ranks(mol: Mol, adj) -> list[int]:
-    """Morgan-style refinement: equal numbers for atoms alike in their whole surroundings. Hashes of
-    whole numbers are the same in every process."""
+    """Morgan-style refinement: equal numbers for atoms alike in their whole surroundings."""
     code = [_label_code(_atom_label(a, len(adj[i])), len(adj[i])) for i, a in enumerate(mol.atoms)]
     kinds = len(set(code))
     ring = [a.aromatic for a in mol.atoms]
     near = [[(5 if not o and ring[i] and ring[j] else _ORDER[o], j) for j, o, _ in adj[i]] for i in range(len(code))]
     while True:
-        code = [hash((code[i], *(x for pair in sorted((o, code[j]) for o, j in near[i]) for x in pair))) for i in range(len(code))]
+        code = [xxhash.xxh3_64_intdigest(array("Q", [code[i], *(x for pair in sorted((o, code[j]) for o, j in near[i]) for x in pair)]).tobytes()) for i in range(len(code))]
         if len(set(code)) <= kinds:
             return code
         kinds = len(set(code))
@@ -301,6 +328,7 @@ def canonical(smiles: str | None, keep_maps: bool = False) -> str | None:
     mol = parse(smiles)
     if mol is None:
         return None
+    uncharge(mol)
     aromatize(mol)
     parts = []
     adj = mol.neighbours()
@@ -372,6 +400,7 @@ def fingerprint_bits(smiles: str | None, radius: int = 2, bits: int = 2048) -> l
     mol = parse(smiles)
     if mol is None:
         return None
+    uncharge(mol)
     aromatize(mol)
     adj = mol.neighbours()
     code = [_h(_atom_label(a, 0), len(adj[i])) for i, a in enumerate(mol.atoms)]
@@ -475,6 +504,8 @@ def continuous(before: str, after: str, enough: float) -> float | None:
     return max(known) if known else None
 
 
+#: An atom with a positive charge and one with a negative charge.
+_OPPOSITE = re.compile(r"\+\d?\].*-\d?\]|-\d?\].*\+\d?\]")
 _RING_OR_BRACKET = re.compile(r"\[[^\]]*\]|%\d\d|\d")
 _MAPPED = re.compile(r":\d+\]")
 #: A Kekulé ring's first atom is double-bonded to the next one or to the closing one, or is a heteroatom.
@@ -482,26 +513,34 @@ _MAYBE_KEKULE = re.compile(r"[CN](?:%\d\d|\d)+[=(]|=[\d%]|[NOSP](?:%\d\d|\d)+[C(
 
 
 def plain_drawing(smiles: str) -> str:
-    """One text for drawings that differ in white space, ring numbers, atom maps or Kekulé rings.
+    """One text for drawings that differ in white space, ring numbers, atom maps, Kekulé rings or
+    charges of neighbours that another drawing leaves out.
 
     Much cheaper than canonical(); atoms keep their written order.
     """
     text = smiles.strip()
     if ":" in text:
         text = _MAPPED.sub("]", text)
-    if _MAYBE_KEKULE.search(text):
+    if _MAYBE_KEKULE.search(text) or _OPPOSITE.search(text):
         mol = parse(text)
         if mol is not None:
+            for k in uncharge(mol):
+                a, b, o = mol.bonds[k]
+                for x in (a, b):
+                    mol.tokens[mol.atom_at[x]] = _written(mol.atoms[x], False)
+                if mol.bond_at[k] >= 0:
+                    mol.tokens[mol.bond_at[k]] = o
+                elif k not in mol.closures:
+                    mol.tokens[mol.atom_at[b]] = o + mol.tokens[mol.atom_at[b]]
             inside = aromatize(mol)
-            if inside:
-                for k in inside:
-                    if mol.bond_at[k] >= 0:
-                        mol.tokens[mol.bond_at[k]] = ""
-                    for x in mol.bonds[k][:2]:
-                        tok = mol.tokens[mol.atom_at[x]]
-                        if tok[0] != "[":
-                            mol.tokens[mol.atom_at[x]] = tok.lower()
-                text = "".join(mol.tokens)
+            for k in inside:
+                if mol.bond_at[k] >= 0:
+                    mol.tokens[mol.bond_at[k]] = ""
+                for x in mol.bonds[k][:2]:
+                    tok = mol.tokens[mol.atom_at[x]]
+                    if tok[0] not in "[=#":
+                        mol.tokens[mol.atom_at[x]] = tok.lower()
+            text = "".join(mol.tokens)
     taken: dict[str, int] = {}
 
     def number(m: re.Match) -> str:

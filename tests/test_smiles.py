@@ -29,6 +29,20 @@ def test_plain_drawing(a, b):
         assert S.plain_drawing(a) == S.plain_drawing(b)
 
 
+@pytest.mark.parametrize(
+    ("a", "b"),
+    [("CC[N+](=O)[O-]", "CCN(=O)=O"), ("[O-][N+](=O)c1ccccc1", "O=N(=O)C1=CC=CC=C1"), ("C[N+]([O-])=O", "CN(=O)=O"), ("CN=[N+]=[N-]", "CN=N#N"), ("C[N-][N+]#N", "CN=N#N"), ("C[S+]([O-])C", "CS(=O)C"), ("c1cc[n+]([O-])cc1", "c1ccn(=O)cc1"), ("C[P+](C)(C)[CH-]C", "CP(C)(C)=CC")],
+)
+def test_charges_that_another_drawing_leaves_out(a, b):
+    assert S.plain_drawing(a) == S.plain_drawing(b) and S.canonical(a) == S.canonical(b) and S.valid(b)
+    assert S.fingerprint_bits(a) == S.fingerprint_bits(b) and S.charge(a) == S.charge(b) == 0
+
+
+def test_charges_apart_stay():
+    for t in ("[O-]c1ccccc1[N+](C)(C)C", "[O-]C", "C[N+](C)(C)C", "[Na+].[Cl-]"):
+        assert S.plain_drawing(t) == t and S.canonical(t) != S.canonical(t.replace("+", "").replace("-", ""))
+
+
 def test_plain_drawing_keeps_other_rings():
     assert S.plain_drawing("O=C1CCC(C=CC)CC1") == "O=C1CCC(C=CC)CC1"
     assert S.plain_drawing("C3CC3CC3CC3") == "C1CC1CC1CC1"
