@@ -27,6 +27,14 @@ def p1_coverage(spark: SparkSession, d: str) -> DataFrame:
     return _overlaps(spark, d).coverage()
 
 
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d).linked_classes()
+
+
+def p1_members(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d).members
+
+
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return _overlaps(spark, d).report()
 
@@ -88,4 +96,4 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return Truncation(table(spark, d, "documents")).report()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report, p5_containers, p5_report, p6_mix, p6_report, p7_found, p7_verdicts, p7_report)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_coverage, p1_classes, p1_members, p1_report, p2_found, p2_split, p2_report, p4_found, p4_sample, p4_report, p5_containers, p5_report, p6_mix, p6_report, p7_found, p7_verdicts, p7_report)}
