@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusmill.operators.components import hash_to_min, star_edges
 from corpusmill.operators.simjoin import set_classes, similar_pairs
@@ -38,9 +37,11 @@ def clusters(rows: DataFrame, key: str, keys: list[str], fingerprint: str | None
 
 
 def representatives(rows: DataFrame, clustered: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The first row of each cluster in the given order, then by key."""
-    best = rows.join(clustered, key).withColumn("_r", F.row_number().over(Window.partitionBy("cluster").orderBy(*order, key)))
-    return best.filter("_r = 1").drop("_r")
+    """The row of each cluster with the smallest values of order, then key; keys are unique. The smallest
+    is kept in an aggregate, so no cluster is sorted, and only keys go through the shuffle."""
+    ranked = rows.select(key, F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.col(key).alias("k")).alias("_o")).join(clustered, key)
+    first = ranked.groupBy("cluster").agg(F.min("_o")["k"].alias(key))
+    return rows.join(first, key)
 
 
 def size_distribution(clustered: DataFrame) -> DataFrame:

@@ -145,7 +145,7 @@ def dedup_phase(run: Run, records: DataFrame) -> DataFrame:
     """One record of each cluster of equal signatures, equal step hashes or similar fingerprints
     within a product bucket."""
     clustered = U.clusters(records, "record_id", ["sig", "step_hash"], "fp", "97/100", "bucket")
-    out = run.keep(U.representatives(records, clustered, "record_id", [U.provenance_rank(F.col("provenance")).desc(), F.size("steps").desc()]).drop("cluster", "fp", "bucket"), "deduped")
+    out = run.keep(U.representatives(records, clustered, "record_id", [-U.provenance_rank(F.col("provenance")), -F.size("steps")]).drop("cluster", "fp", "bucket"), "deduped")
     run.gates["dedup"] = gate("dedup", out.agg(F.count("*").alias("kept")))
     return out
 

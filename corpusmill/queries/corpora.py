@@ -170,7 +170,7 @@ _RANK = "case provenance when 'curated' then 3 when 'template_expanded' then 2 w
 @query(_EDGES + f" select cluster, record_no, provenance from (select *, row_number() over (partition by cluster order by {_RANK} desc, mechanism_step_nums desc nulls last, record_no) as k from clustered join featured using (record_no)) where k = 1")
 def dedup_representative(spark, d):
     f, c = _clustered(spark, d)
-    best = U.representatives(f, c, "record_no", [U.provenance_rank(F.col("provenance")).desc(), F.col("mechanism_step_nums").desc_nulls_last()])
+    best = U.representatives(f, c, "record_no", [-U.provenance_rank(F.col("provenance")), -F.coalesce("mechanism_step_nums", F.lit(-1))])
     return best.select("cluster", "record_no", "provenance")
 
 
@@ -184,7 +184,7 @@ def _clustered_by_all(spark, d):
 def dedup_fp_representative(spark, d):
     """As dedup_representative, with fingerprints of at least 0.97 similarity in a product bucket as links, too."""
     f, c = _clustered_by_all(spark, d)
-    best = U.representatives(f, c, "record_no", [U.provenance_rank(F.col("provenance")).desc(), F.col("mechanism_step_nums").desc_nulls_last()])
+    best = U.representatives(f, c, "record_no", [-U.provenance_rank(F.col("provenance")), -F.coalesce("mechanism_step_nums", F.lit(-1))])
     return best.select("cluster", "record_no", "provenance")
 
 

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _OWN_STAGES: list[tuple[SparkSession, str]] = []
 
@@ -34,23 +34,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share, as spark.checkpoint.dir says. A local session without the
+    setting gets a folder of its own; on a cluster it has to be set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back.
+def staged(df: DataFrame, name: str, observed: Observation | None = None, *metrics: Column) -> DataFrame:
+    """Write df once to the shared folder and read it back; with an observation its metrics come from
+    the same job.
 
     Cuts the lineage in a way that survives lost executors, keeps column pruning and gives AQE
     real sizes. The files go when the session's Python process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    (df.observe(observed, *metrics) if observed else df).write.mode("overwrite").parquet(path)
     if not _OWN_STAGES:
         atexit.register(_drop_stages)
     _OWN_STAGES.append((spark, path))

@@ -70,7 +70,7 @@ def test_components(spark):
 def test_dedup_keeps_the_best(spark):
     rows = spark.createDataFrame([(1, "inferred", "s1", "h1", [1, 2]), (2, "curated", "s1", "h2", [7]), (3, "template_expanded", None, "h2", [8]), (4, "curated", "s9", "h9", [9]), (5, None, None, None, None), (6, "curated", "s8", "h8", [9])], "id int, provenance string, sig string, hash string, fp array<int>")
     c = U.clusters(rows, "id", ["sig", "hash"], "fp")
-    best = U.representatives(rows, c, "id", [U.provenance_rank(rows["provenance"]).desc()])
+    best = U.representatives(rows, c, "id", [-U.provenance_rank(rows["provenance"])])
     assert {(r["cluster"], r["id"]) for r in best.collect()} == {(1, 2), (4, 4), (5, 5)}
     assert {(r["cluster_size"], r["clusters"]) for r in U.size_distribution(c).collect()} == {(3, 1), (2, 1), (1, 1)}
 
