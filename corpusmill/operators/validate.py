@@ -74,10 +74,10 @@ def seeds(steps: DataFrame, start: DataFrame, key: str, pos: str) -> DataFrame:
 
 
 def step_reasons(steps: DataFrame, key: str, pos: str, form: str, shared: Column | None = None, floor: float = SHARED_TRUSTED, start: DataFrame | None = None) -> DataFrame:
-    """Adds reason to measured steps: null, or the first thing wrong with the step.
+    """Adds reasons to measured steps: everything wrong with the step, in a list.
 
-    Each step is compared with the one before it by lag; an unparseable step is reported and the
-    next one is then compared with nothing. A large change still passes if the shared fraction
+    Each step is compared with the one before it by lag; an unparseable step is reported twice, as a
+    structure and as one without a balance, and the next one is then compared with nothing. A large change still passes if the shared fraction
     (a column, null meaning unknown) reaches the floor or is unknown when given. Positions count
     from 0, reasons name steps from 1.
 
@@ -104,21 +104,36 @@ def step_reasons(steps: DataFrame, key: str, pos: str, form: str, shared: Column
         found = shared_fractions(costly).withColumnsRenamed({"before": "_before", "after": form, "floor": "floor"})
         before = before.join(found, ["_before", form, "floor"], "left").select(*before.columns, "shared")
         fine = F.col("_small") | F.coalesce(F.col("shared") >= F.col("floor"), F.lit(True))
-    why = (
-        F.when(~ok, F.concat(F.lit("balance_unparseable:step"), n))
-        .when(F.col("_form") == F.col(form), F.concat(F.lit("noop_step:step"), n))
-        .when(F.col("_ok") & ~fine, F.concat(F.lit("discontinuous_step:step"), n, F.lit("(heavy_delta="), delta.cast("string"), F.lit(")")))
-        .when(F.col("_ok") & (jump > CHARGE_DELTA), F.concat(F.lit("charge_jump:step"), n, F.lit("(delta="), jump.cast("string"), F.lit(")")))
+    compared = ok & F.coalesce(F.col("_ok"), F.lit(False))
+    why = F.array(
+        F.when(~ok, F.concat(F.lit("sanitize_fail:step"), n)),
+        F.when(~ok, F.concat(F.lit("balance_unparseable:step"), n)),
+        F.when(ok & (F.col("_form") == F.col(form)), F.concat(F.lit("noop_step:step"), n)),
+        F.when(compared & ~fine, F.concat(F.lit("discontinuous_step:step"), n, F.lit("(heavy_delta="), delta.cast("string"), F.lit(")"))),
+        F.when(compared & (jump > CHARGE_DELTA), F.concat(F.lit("charge_jump:step"), n, F.lit("(delta="), jump.cast("string"), F.lit(")"))),
     )
-    return before.withColumn("reason", why).select(*steps.columns, "reason")
+    return before.withColumn("reasons", F.array_compact(why)).select(*steps.columns, "reasons")
 
 
-def checks(judged: DataFrame, key: str) -> DataFrame:
-    """Per record: the four persisted checks and the sorted reasons."""
-    has = lambda p: F.coalesce(F.max(F.when(F.col("reason").startswith(p), True)), F.lit(False))
-    return judged.groupBy(key).agg(
-        (~has("balance_unparseable")).alias("sanitized"), (~has("discontinuous_step")).alias("atom_balanced"), (~has("charge_jump")).alias("charge_balanced"), (~(has("discontinuous_step") | has("noop_step"))).alias("step_continuity"), F.array_sort(F.collect_list("reason")).alias("reasons")
-    )
+def side_reasons(records: DataFrame, key: str, sides: list[str]) -> DataFrame:
+    """(key, reasons): sanitize_fail:<side> of each list column with a structure that can't be read;
+    keys without any are left out."""
+    each = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda m: F.struct(F.lit(c).alias("side"), m.alias("m")))
+    parts = records.select(key, F.explode(F.concat(*(each(c) for c in sides))).alias("x")).select(key, "x.side", "x.m")
+    bad = measured(parts, "m").filter(~F.coalesce("parse_ok", F.lit(False)))
+    return bad.groupBy(key).agg(F.transform(F.collect_set("side"), lambda c: F.concat(F.lit("sanitize_fail:"), c)).alias("reasons"))
+
+
+#: What each persisted check forbids.
+CHECKS = {"sanitized": ("sanitize_fail",), "atom_balanced": ("discontinuous_step",), "charge_balanced": ("charge_jump",), "step_continuity": ("discontinuous_step", "charge_jump", "noop_step"), "no_noop_steps": ("noop_step",)}
+
+
+def checks(judged: DataFrame, key: str, sides: DataFrame | None = None) -> DataFrame:
+    """Per record the checks and the sorted distinct reasons; with sides (key, reasons) those, too."""
+    every = judged.select(key, "reasons") if sides is None else judged.select(key, "reasons").unionByName(sides.select(key, "reasons"))
+    out = every.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons"))
+    free = lambda kinds: ~F.exists("reasons", lambda r: F.substring_index(r, ":", 1).isin(*kinds))
+    return out.select(key, *(free(kinds).alias(c) for c, kinds in CHECKS.items()), "reasons")
 
 
 def reject_breakdown(rejects: DataFrame, reasons: str = "reasons") -> DataFrame:

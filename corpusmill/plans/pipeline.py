@@ -107,11 +107,11 @@ def validate_phase(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid concrete records with their checks, rejects with reasons)."""
     concrete = records.filter("not is_template")
     steps = concrete.select("record_id", F.posexplode("steps").alias("pos", "s")).select("record_id", "pos", "s.*")
-    judged = V.checks(V.step_reasons(V.measured(steps, "smiles"), "record_id", "pos", "smiles", start=concrete.select("record_id", "reactants", "provenance")), "record_id")
+    judged = V.checks(V.step_reasons(V.measured(steps, "smiles"), "record_id", "pos", "smiles", start=concrete.select("record_id", "reactants", "provenance")), "record_id", V.side_reasons(concrete, "record_id", ["reactants", "products"]))
     both = run.keep(concrete.join(judged, "record_id", "left"), "checked")
     bad = F.coalesce(F.size("reasons") > 0, F.lit(False))
-    checks = F.struct(*(F.coalesce(c, F.lit(True)).alias(c) for c in ("sanitized", "atom_balanced", "charge_balanced", "step_continuity")))
-    out = both.filter(~bad).withColumn("checks", checks).drop("sanitized", "atom_balanced", "charge_balanced", "step_continuity", "reasons")
+    checks = F.struct(*(F.coalesce(c, F.lit(True)).alias(c) for c in V.CHECKS))
+    out = both.filter(~bad).withColumn("checks", checks).drop(*V.CHECKS, "reasons")
     rejects = both.filter(bad).select("record_id", "source", "reasons")
     run.gates["validate"] = gate("validate", both.agg(F.count_if(~bad).alias("valid"), F.count_if(bad).alias("rejected")))
     return out, rejects

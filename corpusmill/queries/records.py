@@ -162,13 +162,15 @@ def _judged(spark, d):
 
 @query()
 def step_validation(spark, d):
-    """Every step's first problem by the line-formula kernel."""
-    return _judged(spark, d).filter("reason is not null").select("row_id", "pos", "reason")
+    """Everything wrong with each step by the line-formula kernel."""
+    return _judged(spark, d).select("row_id", "pos", F.explode("reasons").alias("reason"))
 
 
 @query()
 def record_checks(spark, d):
-    return V.checks(_judged(spark, d), "row_id").withColumn("reasons", F.array_join("reasons", ","))
+    own = records(spark, d).select("record_no", F.transform("reactants_smiles", lambda m: F.trim(m)).alias("reactants"), F.transform("products_smiles", lambda m: F.trim(m)).alias("products"))
+    sides = V.side_reasons(full_rows(spark, d).select("row_id", "record_no").join(own, "record_no"), "row_id", ["reactants", "products"])
+    return V.checks(_judged(spark, d), "row_id", sides).withColumn("reasons", F.array_join("reasons", ","))
 
 
 @query(

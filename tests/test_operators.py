@@ -46,11 +46,17 @@ def test_remap(spark):
 def test_step_reasons(spark):
     rows = [(1, 0, "CCO"), (1, 1, "CCO"), (2, 0, "CC=O"), (2, 1, "C(C)(C)(C)(C)C"), (2, 2, "CCCCCCCCCCCCCC"), (3, 0, "C"), (3, 1, "CCCCCCCCC"), (4, 0, "[Na+]"), (4, 1, "[O-][O-]"), (5, 0, "CC=O"), (5, 1, "CC[OH2+]")]
     judged = V.step_reasons(V.measured(spark.createDataFrame(rows, "id int, pos int, smiles string"), "smiles"), "id", "pos", "smiles")
-    got = {(r["id"], r["pos"]): r["reason"] for r in judged.filter("reason is not null").collect()}
-    assert got == {(1, 1): "noop_step:step2", (2, 1): "balance_unparseable:step2", (3, 1): "discontinuous_step:step2(heavy_delta=8)", (4, 1): "charge_jump:step2(delta=3)"}
+    got = {(r["id"], r["pos"]): r["reasons"] for r in judged.filter("size(reasons) > 0").collect()}
+    assert got == {(1, 1): ["noop_step:step2"], (2, 1): ["sanitize_fail:step2", "balance_unparseable:step2"], (3, 1): ["discontinuous_step:step2(heavy_delta=8)"], (4, 1): ["charge_jump:step2(delta=3)"]}
     checks = {r["id"]: (r["sanitized"], r["atom_balanced"], r["charge_balanced"], r["step_continuity"]) for r in V.checks(judged, "id").collect()}
     assert checks[5] == (True,) * 4 and checks[1] == (True, True, True, False) and checks[2][0] is False
-    assert V.step_reasons(V.measured(spark.createDataFrame(rows, "id int, pos int, smiles string"), "smiles"), "id", "pos", "smiles", F.lit(0.5)).filter("reason like 'disc%'").count() == 0
+    assert checks[4] == (True, True, False, False)
+    both = V.step_reasons(V.measured(spark.createDataFrame([(1, 0, "C"), (1, 1, "[O-][O-].CCCCCCCC[O-]")], "id int, pos int, smiles string"), "smiles"), "id", "pos", "smiles")
+    sides = V.side_reasons(spark.createDataFrame([(1, ["CC", "C("], ["C"]), (2, ["C"], None), (3, [None], ["C", "?"])], "id int, reactants array<string>, products array<string>"), "id", ["reactants", "products"])
+    assert {r["id"]: sorted(r["reasons"]) for r in sides.collect()} == {1: ["sanitize_fail:reactants"], 3: ["sanitize_fail:products", "sanitize_fail:reactants"]}
+    first = V.checks(both, "id", sides).filter("id = 1").first()
+    assert first["reasons"] == ["charge_jump:step2(delta=3)", "discontinuous_step:step2(heavy_delta=10)", "sanitize_fail:reactants"] and not first["sanitized"] and first["no_noop_steps"]
+    assert V.step_reasons(V.measured(spark.createDataFrame(rows, "id int, pos int, smiles string"), "smiles"), "id", "pos", "smiles", F.lit(0.5)).filter("exists(reasons, r -> r like 'disc%')").count() == 0
 
 
 def test_continuity_of_large_changes(spark):
@@ -70,7 +76,7 @@ def test_continuity_of_large_changes(spark):
     steps = spark.createDataFrame([(r[0], i, m) for r in rows for i, m in enumerate(r[3])], "id int, pos int, smiles string")
     judged = V.step_reasons(V.measured(steps, "smiles"), "id", "pos", "smiles", start=start)
     assert judged.count() == steps.count()
-    bad = {(r["id"], r["reason"].split("(")[0]) for r in judged.filter("reason is not null").collect()}
+    bad = {(r["id"], x.split("(")[0]) for r in judged.collect() for x in r["reasons"]}
     assert bad == {(3, "discontinuous_step:step2"), (4, "discontinuous_step:step1"), (5, "discontinuous_step:step2")}
 
 
