@@ -5,9 +5,11 @@ id are linked, and hash-to-min (Rastogi, Machanavajjhala, Chitnis & Das Sarma 20
 components: each node sends its cluster to the cluster's minimum and the minimum to the cluster's
 nodes until nothing changes. Weighted rendezvous hashing then gives each component to a split.
 
-Components larger than a thousandth of all rows (so at most a thousand) are first given, largest
-first, to the split with the largest share still open; the rest are hashed with what remains as
-weights, so the proportions hold although groups are very uneven.
+Proportions are kept by bounded loads: a split takes part in a component's draw only while it has
+room for all its rows, and its weight is the room it has left. Rooms are brought up to date after
+each component of more than a thousandth of all rows (at most a thousand of them), largest first,
+and once for the others, which are far too small to fill a split by themselves; the rule is the
+same for all.
 
 Defined cases: a null, blank or nameless id is read from the row's record; a row without any
 entity is a group of its own, named "row" and its row_id; white space, case, separators, leading
@@ -18,8 +20,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusmill.operators.components import hash_to_min
 from corpusmill.session import staged
@@ -85,31 +91,50 @@ def _draw(key: Column, split: str, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def assign(keys: DataFrame, shares: dict[str, float], seed: int = 20240709, heavy: float = 0.001) -> DataFrame:
-    """(group_key, n, split) for each group; shares are the wanted proportions by split."""
-    sizes = staged(keys.groupBy("group_key").agg(F.count("*").alias("n")), "group-sizes")
+def _rendezvous(key: str, rooms: dict[str, float], n: float, seed: int) -> str:
+    """The split that wins the draw among those with room for n rows; the roomiest if none has."""
+    fit = {s: w for s, w in rooms.items() if w >= n and w > 0}
+    return min(sorted(fit), key=lambda s: -math.log(_drawn(key, s, seed)) / fit[s]) if fit else max(sorted(rooms), key=lambda s: rooms[s])
+
+
+def _drawn(key: str, split: str, seed: int) -> float:
+    """As _draw()."""
+    return (int(hashlib.md5(f"{seed}|{split}|{key}".encode()).hexdigest()[:13], 16) + 0.5) / float(1 << 52)
+
+
+def split_of(sizes: DataFrame, shares: dict[str, float], seed: int = 20240709, heavy: float = 0.001) -> Column:
+    """The split of the column group_key, given (group_key, n) of all groups: needs no join."""
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    open_, placed = {s: w * total / sum(shares.values()) for s, w in shares.items()}, {}
+    rooms, placed = {s: w * total / sum(shares.values()) for s, w in sorted(shares.items())}, {}
     # at most 1/heavy groups can be larger than heavy times all rows
     for r in sizes.filter(F.col("n") > heavy * total).orderBy(F.desc("n"), "group_key").collect():
-        split = max(sorted(open_), key=lambda s: open_[s])
-        placed[r["group_key"]] = split
-        open_[split] -= r["n"]
-    weights = {s: max(w, total * 1e-6) for s, w in open_.items()}
-    hashed = F.array_min(F.array(*(F.struct((-F.ln(_draw(F.col("group_key"), s, seed)) / w).alias("score"), F.lit(s).alias("split")) for s, w in sorted(weights.items()))))["split"] if total else F.lit(None).cast("string")
+        placed[r["group_key"]] = _rendezvous(r["group_key"], rooms, r["n"], seed)
+        rooms[placed[r["group_key"]]] -= r["n"]
+    open_ = {s: w for s, w in rooms.items() if w > 0} or {s: 1.0 for s in rooms}
+    hashed = F.array_min(F.array(*(F.struct((-F.ln(_draw(F.col("group_key"), s, seed)) / w).alias("score"), F.lit(s).alias("split")) for s, w in open_.items())))["split"]
     fixed = F.create_map(*(F.lit(x) for kv in placed.items() for x in kv))[F.col("group_key")] if placed else F.lit(None).cast("string")
-    return sizes.withColumn("split", F.coalesce(fixed, hashed))
+    return F.coalesce(fixed, hashed)
+
+
+def group_sizes(keys: DataFrame) -> DataFrame:
+    return staged(keys.groupBy("group_key").agg(F.count("*").alias("n")), "group-sizes")
+
+
+def assign(keys: DataFrame, shares: dict[str, float], seed: int = 20240709) -> DataFrame:
+    """(group_key, n, split) for each group; shares are the wanted proportions by split."""
+    sizes = group_sizes(keys)
+    return sizes.withColumn("split", split_of(sizes, shares, seed))
 
 
 def split_rows(keys: DataFrame, shares: dict[str, float], seed: int = 20240709) -> DataFrame:
     """(row_id, group_key, split)."""
-    return keys.join(assign(keys, shares, seed).select("group_key", "split"), "group_key").select("row_id", "group_key", "split")
+    return keys.select("row_id", "group_key", split_of(group_sizes(keys), shares, seed).alias("split"))
 
 
 def report(keys: DataFrame, shares: dict[str, float], seed: int = 20240709) -> DataFrame:
     """Per split: rows, groups, wanted and actual share."""
-    groups = assign(keys, shares, seed)
     whole = sum(shares.values())
     wanted = F.create_map(*(F.lit(x) for s, w in shares.items() for x in (s, w / whole)))
-    per = groups.groupBy("split").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_groups"))
-    return per.crossJoin(per.agg(F.sum("n_rows").alias("total"))).select("split", "n_rows", "n_groups", F.round(wanted[F.col("split")], 6).alias("wanted_share"), F.round(F.col("n_rows") / F.col("total"), 6).alias("actual_share"))
+    per = assign(keys, shares, seed).groupBy("split").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_groups"))
+    total = F.sum("n_rows").over(Window.partitionBy())  # one row a split
+    return per.select("split", "n_rows", "n_groups", F.round(wanted[F.col("split")], 6).alias("wanted_share"), F.round(F.col("n_rows") / total, 6).alias("actual_share"))

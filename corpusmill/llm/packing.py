@@ -9,14 +9,15 @@ give patterns with multiplicities. Every item then finds its container from its
 items of its length, without meeting other items.
 
 Defined cases: an item above the capacity is cut into full pieces and a remainder, others are never
-split; items without tokens (null or empty text) lie in container 1; ties among equal lengths go by
-key; repeated rows are items of their own; a capacity null or below 1 packs nothing; specs of a
+split; items without tokens (null or empty text) lie in container 1; equal lengths go by a hash of
+key and piece, which spreads them over 256 blocks, and within a block by key; repeated rows are items of their own; a capacity null or below 1 packs nothing; specs of a
 language take the rows of that language in any spelling; empty tables give empty results; further
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
@@ -26,11 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions.text import label
-from corpusmill.session import bounded_broadcast, staged
+from corpusmill.session import staged
 
-MOST_SPECS = 10_000
-#: Ranks within a length are counted in blocks of about so many items.
-BLOCK = 200_000
+#: Tables of specs have at most so many rows, and all their solutions so many rows in all (48 bytes
+#: each); both depend on the specs, not on the number of items. They are held in every task.
+MOST_SPECS, MOST_PLACES = 1_000, 4_000_000
+#: Ranks within a length are counted in so many blocks.
+BLOCKS = 256
 Pattern = tuple[tuple[int, int], ...]
 
 
@@ -208,44 +211,51 @@ class _Places:
         return out
 
 
+def _given(specs: DataFrame) -> list[tuple[int, int, str | None]]:
+    rows = specs.filter("capacity_tokens > 0").select("spec_id", "capacity_tokens", label(F.col("lang")).alias("only")).limit(MOST_SPECS + 1).collect()
+    if len(rows) > MOST_SPECS:
+        raise ValueError(f"more than {MOST_SPECS} specs")
+    return sorted((r["spec_id"], r["capacity_tokens"], r["only"] or "") for r in rows)
+
+
 def items(sized: DataFrame, specs: DataFrame, key: str) -> DataFrame:
-    """(spec_id, key, piece, from_token, n_tokens) of every piece to be packed."""
-    s = bounded_broadcast(specs.filter("capacity_tokens > 0").select("spec_id", "capacity_tokens", label(F.col("lang")).alias("only")), MOST_SPECS)
-    docs = sized.select(key, label(F.col("lang")).alias("lang"), "n_tokens")
-    # the specs of a language and those of all: two equi-joins
-    every = s.filter("only is null").select("spec_id", "capacity_tokens").withColumn("one", F.lit(1))
-    own = docs.join(s.filter("only is not null"), F.col("lang") == F.col("only")).select("spec_id", "capacity_tokens", key, "n_tokens")
-    all_ = docs.withColumn("one", F.lit(1)).join(bounded_broadcast(every, MOST_SPECS), "one").select("spec_id", "capacity_tokens", key, "n_tokens")
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.expr("(n_tokens - 1) div capacity_tokens")))
-    return (
-        own.unionByName(all_)
-        .select("spec_id", "capacity_tokens", key, F.col("n_tokens").alias("whole"), F.explode(pieces).alias("piece"))
-        .select("spec_id", key, "piece", (F.col("piece") * F.col("capacity_tokens")).alias("from_token"), F.least(F.col("capacity_tokens").cast("bigint"), F.col("whole") - F.col("piece") * F.col("capacity_tokens")).alias("n_tokens"))
-    )
+    """(spec_id, key, piece, from_token, n_tokens) of every piece to be packed: each document under
+    the specs of its language and those of all."""
+    given = _given(specs)
+    every = F.from_json(F.lit(json.dumps([{"i": i, "c": c, "only": only} for i, c, only in given])), "array<struct<i:int,c:bigint,only:string>>")
+    own = F.filter(every, lambda s: s["only"].isin("", F.col("lang")))
+    docs = sized.select(key, F.coalesce(label(F.col("lang")), F.lit("")).alias("lang"), F.col("n_tokens").alias("whole")).select(key, "whole", F.explode(own).alias("s"))
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.expr("(whole - 1) div s.c")))).alias("piece")
+    start = F.col("piece") * F.col("c")
+    return docs.select(F.col("s.i").alias("spec_id"), F.col("s.c").alias("c"), key, "whole", pieces).select("spec_id", key, "piece", start.alias("from_token"), F.least(F.col("c"), F.col("whole") - start).alias("n_tokens"))
 
 
 def plan(pieces: DataFrame, specs: DataFrame) -> dict[int, tuple[int, dict[int, int], list[tuple[Pattern, int]]]]:
     """Per spec its capacity, histogram and solution. At most the capacity's number of lengths per
-    spec comes to the driver."""
+    spec comes to the driver, MOST_PLACES in all."""
     hist: dict[int, dict[int, int]] = {}
-    for r in pieces.filter("n_tokens > 0").groupBy("spec_id", "n_tokens").agg(F.count("*").alias("n")).collect():
+    rows = pieces.filter("n_tokens > 0").groupBy("spec_id", "n_tokens").agg(F.count("*").alias("n")).limit(MOST_PLACES + 1).collect()
+    if len(rows) > MOST_PLACES:
+        raise ValueError(f"more than {MOST_PLACES} lengths over all specs")
+    for r in rows:
         hist.setdefault(r["spec_id"], {})[r["n_tokens"]] = r["n"]
-    caps = {r["spec_id"]: r["capacity_tokens"] for r in specs.filter("capacity_tokens > 0").select("spec_id", "capacity_tokens").collect()}
-    return {i: (c, hist.get(i, {}), solve(hist.get(i, {}), c)) for i, c in sorted(caps.items())}
+    return {i: (c, hist.get(i, {}), solve(hist.get(i, {}), c)) for i, c, _ in _given(specs)}
 
 
 def pack(sized: DataFrame, specs: DataFrame, key: str) -> DataFrame:
     """(spec_id, container, key, piece, from_token, n_tokens): where every piece lies."""
     pieces = staged(items(sized, specs, key), "pack-items")
-    places = {i: _Places(p) for i, (_, _, p) in plan(pieces, specs).items()}
-    blocks = max(1, -(-pieces.count() // BLOCK))
+    solved = {i: _Places(p) for i, (_, _, p) in plan(pieces, specs).items()}
+    if sum(len(p.size) for p in solved.values()) > 4 * MOST_PLACES:
+        raise ValueError("the solutions are too many to be held in every task")
+    places = sized.sparkSession.sparkContext.broadcast(solved)
     fields = {f.name: f.dataType.simpleString() for f in pieces.schema}
-    rank = (F.row_number().over(Window.partitionBy("spec_id", "n_tokens", "block").orderBy(key, "piece")) - 1).cast("bigint")
-    ranked = pieces.withColumn("block", F.pmod(F.xxhash64(key, "piece"), F.lit(blocks))).withColumn("rank", rank)
-    if blocks > 1:
-        per = pieces.withColumn("block", F.pmod(F.xxhash64(key, "piece"), F.lit(blocks))).groupBy("spec_id", "n_tokens", "block").agg(F.count("*").alias("n"))
-        before = per.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("spec_id", "n_tokens").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-        ranked = ranked.join(before, ["spec_id", "n_tokens", "block"]).withColumn("rank", F.col("rank") + F.col("before"))
+    group = ["spec_id", "n_tokens", "block"]
+    blocked = pieces.withColumn("block", F.pmod(F.xxhash64(key, "piece"), F.lit(BLOCKS)))
+    within = (F.row_number().over(Window.partitionBy(*group).orderBy(key, "piece")) - 1).cast("bigint")
+    upto = Window.partitionBy("spec_id", "n_tokens").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocked.groupBy(*group).agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).drop("n")
+    ranked = blocked.withColumn("within", within).join(before, group).withColumn("rank", F.col("within") + F.col("before"))
 
     def run(batches):
         for b in batches:
@@ -253,7 +263,7 @@ def pack(sized: DataFrame, specs: DataFrame, key: str) -> DataFrame:
             out = np.ones(len(spec), np.int64)
             for i in np.unique(spec):
                 own = np.flatnonzero(spec == i)
-                out[own] = places[int(i)].find(size[own].astype(np.int64), at[own].astype(np.int64))
+                out[own] = places.value[int(i)].find(size[own].astype(np.int64), at[own].astype(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out), *b.columns[1:5]], names=["spec_id", "container", key, "piece", "from_token", "n_tokens"])
 
     return ranked.select("spec_id", key, "piece", "from_token", "n_tokens", "rank").mapInArrow(run, f"spec_id int, container bigint, `{key}` {fields[key]}, piece bigint, from_token bigint, n_tokens bigint")

@@ -13,6 +13,8 @@ from corpusmill.llm.truncation import Truncation
 from corpusmill.session import staged, table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
+#: The tokenizer's vocabulary file for these queries, unless the session names another.
+VOCABULARY = ("corpusmill.vocabulary", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 
 def _overlaps(spark: SparkSession, d: str) -> Overlaps:
@@ -52,20 +54,24 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return grouped_split.report(p2_found(spark, d), SHARES)
 
 
+def _sampler(spark: SparkSession, d: str) -> quota_sample.Sampler:
+    return quota_sample.Sampler(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"), "record_no")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.unmet(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"))
+    return _sampler(spark, d).unmet()
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.sample(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"), "record_no")
+    return _sampler(spark, d).sample()
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.report(table(spark, d, "mechanism_records"), table(spark, d, "sample_targets"))
+    return _sampler(spark, d).report()
 
 
 def _sized(spark: SparkSession, d: str) -> DataFrame:
-    return staged(with_tokens(table(spark, d, "documents"), ["doc_id", "lang", "source"]), "sized")
+    return staged(with_tokens(table(spark, d, "documents"), ["doc_id", "lang", "source"], spark.conf.get(*VOCABULARY)), "sized")
 
 
 def p5_containers(spark: SparkSession, d: str) -> DataFrame:

@@ -3,42 +3,30 @@
 from __future__ import annotations
 
 import base64
-import importlib.util
 import re
-import sys
-from pathlib import Path
+from pathlib import PurePosixPath
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Folder and file of the default vocabulary; neither is part of this repository.
-TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
-#: Fixed value: the published splitting pattern of this vocabulary, used if the folder gives none.
+#: Fixed value: the published splitting pattern of the rank files.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 _LOADED: dict[str, object] = {}
 
 
-def _pattern(folder: str) -> str:
-    init = Path(folder) / "__init__.py"
-    if not init.exists():
-        return PATTERN
-    spec = importlib.util.spec_from_file_location("_tokenizer_folder", init)
-    mod = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(mod)
-    return getattr(mod, "PATTERN", PATTERN)
-
-
-def encoder(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
-    """A function from a list of texts to their token counts; loaded once per worker."""
-    key = f"{folder}/{vocabulary}"
+def encoder(path: str):
+    """A function from a list of texts to their token counts by a vocabulary file, which is read as
+    data; loaded once per worker."""
+    key, vocabulary = path, PurePosixPath(path).name
     if key not in _LOADED:
         if vocabulary.endswith(".tiktoken"):
             import tiktoken
 
             with open(key, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            enc = tiktoken.Encoding(re.sub(r"\W", "_", vocabulary), pat_str=_pattern(folder), mergeable_ranks=ranks, special_tokens={})
+            enc = tiktoken.Encoding(re.sub(r"\W", "_", vocabulary), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
             _LOADED[key] = lambda texts: [len(enc.encode_ordinary(t)) for t in texts]
         elif vocabulary.endswith(".model"):
             import sentencepiece
@@ -54,12 +42,15 @@ def encoder(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
     return _LOADED[key]
 
 
-def with_tokens(docs: DataFrame, keep: list[str], text: str = "text", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The kept columns and n_tokens; null texts have 0 tokens, lone surrogates are replaced."""
+def with_tokens(docs: DataFrame, keep: list[str], vocabulary: str, text: str = "text") -> DataFrame:
+    """The kept columns and n_tokens by the vocabulary file, which is shipped to the executors; null
+    texts have 0 tokens, lone surrogates are replaced."""
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
+    docs.sparkSession.sparkContext.addFile(vocabulary)
+    name = PurePosixPath(vocabulary).name
 
     def run(batches):
-        count = encoder(folder, vocabulary)
+        count = encoder(SparkFiles.get(name))
         for b in batches:
             texts = [(t or "").encode("utf-8", "replace").decode() for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(count(texts), pa.int64())], names=[*keep, "n_tokens"])

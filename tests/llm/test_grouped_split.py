@@ -65,3 +65,12 @@ def test_rendezvous_moves_little(spark):
     b = G.assign(k, {"train": 0.7, "test": 0.3}).toPandas().set_index("group_key").split
     moved = (a != b.loc[a.index]).mean()
     assert 0.05 < moved < 0.15
+
+
+def test_no_split_overflows_on_large_groups(spark):
+    """One group with a third of all rows and some with a twentieth: the draw goes among splits with room."""
+    k = spark.range(9000).selectExpr("id as row_id", "case when id < 3000 then 'hot' when id < 6000 then concat('large', id % 7) else concat('g', id % 500) end as group_key")
+    for seed in range(4):
+        rep = {r["split"]: r["actual_share"] for r in G.report(k, {"train": 0.8, "validation": 0.1, "test": 0.1}, seed).collect()}
+        assert abs(rep["train"] - 0.8) < 0.03 and abs(rep["test"] - 0.1) < 0.02
+    assert G._drawn("a", "train", 1) == spark.range(1).select(G._draw(G.F.lit("a"), "train", 1)).first()[0]

@@ -8,6 +8,9 @@ from corpusmill.llm import packing as P
 from corpusmill.llm import tokens as K
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def unpack(patterns):
     return [[s for s, n in p for _ in range(n)] for p, times in patterns for _ in range(times)]
 
@@ -62,9 +65,9 @@ def test_solve_packs_everything_tightly():
 SPECS = "spec_id int, capacity_tokens int, lang string"
 
 
-@pytest.mark.parametrize("block", [200_000, 7])
-def test_pack_places_every_piece_once(spark, monkeypatch, block):
-    monkeypatch.setattr(P, "BLOCK", block)
+@pytest.mark.parametrize("blocks", [256, 1])
+def test_pack_places_every_piece_once(spark, monkeypatch, blocks):
+    monkeypatch.setattr(P, "BLOCKS", blocks)
     rng = random.Random(8)
     docs = [(i, rng.choice(["en", "EN ", "de", None]), rng.choice([0, 5, rng.randint(1, 60)])) for i in range(150)] + [(7, "en", 33), (None, "en", 4)]
     sized = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id bigint, lang string, n_tokens bigint, container string, piece int")
@@ -91,14 +94,14 @@ def test_pack_empty(spark):
 
 
 def test_token_counts(spark):
-    count = K.encoder()
+    count = K.encoder(VOCABULARY)
     docs = spark.createDataFrame([(1, "Hello, world! " * 50, "z"), (2, "", "z"), (3, None, "z"), (4, "Grüße – 你好 <|endoftext|>", "z"), (5, "x" * 100_000, "z")], "doc_id bigint, text string, n_tokens string")
-    got = {r["doc_id"]: r["n_tokens"] for r in K.with_tokens(docs, ["doc_id"]).collect()}
+    got = {r["doc_id"]: r["n_tokens"] for r in K.with_tokens(docs, ["doc_id"], VOCABULARY).collect()}
     assert got[2] == got[3] == 0 and got[1] == count(["Hello, world! " * 50])[0] and got[4] > 5 and got[5] > 0
-    tok = K.encoder(vocabulary="byte_bpe_50k.json")
+    tok = K.encoder("/opt/tokenizers/byte_bpe_50k.json")
     texts = ["Some text, with numbers 123.", "naïve café"]
     assert tok(texts) == count(texts)
-    assert all(n > 0 for n in K.encoder(vocabulary="piece_bpe_32k.model")(texts))
+    assert all(n > 0 for n in K.encoder("/opt/tokenizers/piece_bpe_32k.model")(texts))
 
 
 MIX = "mix_id int, source string, target_permille int, max_repeats int, total_tokens_permille int"
