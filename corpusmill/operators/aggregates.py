@@ -39,16 +39,36 @@ def tier_totals(rows: DataFrame, sources: DataFrame, source: str, has: Column) -
     return rows.join(sources, source).groupBy("tier").agg(F.count("*").alias("n"), F.sum(has.cast("int")).alias("n_with_mechanism"))
 
 
+def first_rows(df: DataFrame, order: list[str], n: int, parts: int = 1000) -> DataFrame:
+    """The first n rows in order, n of any size: the place of the cut is found from the counts of
+    value ranges, and only the range it falls in is ranked. df is read three times."""
+    if n <= 0:
+        return df.limit(0)
+    key = F.struct(*order)
+    ranged = df.select(key.alias("_k")).repartitionByRange(parts, "_k").withColumn("_p", F.spark_partition_id())
+    per = ranged.groupBy("_p").agg(F.max("_k").alias("_most"), F.count("*").alias("_n")).orderBy("_p").collect()  # at most so many rows as parts
+    upto, before = 0, None
+    for r in per:
+        if upto + r["_n"] >= n:
+            break
+        upto, before = upto + r["_n"], r["_most"]
+    else:
+        return df
+    value = lambda row: F.struct(*(F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order))
+    inside = df.filter(key <= value(before)) if before is not None else df.limit(0)
+    edge = df.filter(key <= value(r["_most"])) if before is None else df.filter((key > value(before)) & (key <= value(r["_most"])))
+    return inside.unionByName(edge.orderBy(*order).limit(n - upto))
+
+
 def capped(df: DataFrame, order: list[str], fraction: float, base: int) -> DataFrame:
     """The first int(f / (1 - f) * base) rows in order, so that they make up at most that fraction."""
-    most = int(fraction / (1 - fraction) * base)
-    return df.orderBy(*order).limit(most)
+    return first_rows(df, order, int(fraction / (1 - fraction) * base))
 
 
 def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The last row of each key."""
-    w = Window.partitionBy(key).orderBy(*(F.col(c).desc() for c in order))
-    return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    """The last row of each key, kept in an aggregate, so no key's rows are gathered."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_b")).select(key, "_b.*").select(df.columns)
 
 
 def not_done(todo: DataFrame, done: DataFrame, key: str, retry: Column | None = None) -> DataFrame:

@@ -33,6 +33,15 @@ def reasons(candidates: DataFrame, benchmark: DataFrame, key: str, tau: str = "1
     return out.join(near, key, "left").withColumn("reason", F.coalesce("reason", F.when(F.col("best").isNotNull(), code))).drop("best")
 
 
+def blacklist(*corpora: DataFrame) -> DataFrame:
+    """The signatures, skeletons, step hashes and fingerprints of several held-out corpora in one
+    frame; each corpus has the columns that reasons() uses."""
+    out = corpora[0]
+    for c in corpora[1:]:
+        out = out.unionByName(c, allowMissingColumns=True)
+    return out
+
+
 def split_clean(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, removed)."""
     return judged.filter("reason is null").drop("reason"), judged.filter("reason is not null")

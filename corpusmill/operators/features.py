@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from corpusmill.functions import smiles as S
 from corpusmill.session import spread
 
-#: Fixed pattern: bracket atoms of the organic subset, of which a skeleton keeps the element only.
-_BARE = re.compile(r"\[\d*(Br|Cl|[BCNOPSFI]|[bcnops])@{0,2}(?:H\d*)?(?:\++\d*|-+\d*)?(?::\d+)?\]")
+#: Fixed patterns: bracket atoms of the organic subset, of which a skeleton keeps the element only, and
+#: the signs of double-bond stereo.
+BARE_ATOM, STEREO_SIGN = r"\[\d*(Br|Cl|[BCNOPSFI]|[bcnops])@{0,2}(?:H\d*)?(?:\++\d*|-+\d*)?(?::\d+)?\]", r"[/\\]"
+_BARE, _STEREO = re.compile(BARE_ATOM), re.compile(STEREO_SIGN)
 #: The only bit of a reaction whose sides set the same bits: two such reactions are alike.
 UNCHANGED = -1
 
@@ -29,8 +31,14 @@ def signature(reactants: Column, products: Column) -> Column:
 
 
 def skeleton(keys: Column) -> Column:
-    """The first block of each key, which leaves out stereo and charge layers."""
-    return F.transform(keys, lambda k: F.substring_index(k, "-", 1))
+    """Each key without charges, hydrogens, isotopes, maps and stereo: the connectivity as written.
+    skeleton_keys() gives one text for all drawings."""
+    return F.transform(keys, lambda k: F.regexp_replace(F.regexp_replace(k, BARE_ATOM, "$1"), STEREO_SIGN, ""))
+
+
+def connectivity(text: str) -> str | None:
+    """Canonical text of a structure without charges, hydrogens, isotopes, maps and stereo."""
+    return S.canonical(_STEREO.sub("", _BARE.sub(r"\1", text))) if S.valid(text) else None
 
 
 def step_hash(steps: Column, kind: str, form: str) -> Column:
@@ -76,12 +84,20 @@ def reaction_bits(rows: DataFrame, key: str, reactants: str, products: str, out:
     return rows.join(bits, key, "left")
 
 
+def skeleton_keys(rows: DataFrame, key: str, sides: list[str]) -> DataFrame:
+    """Adds <side>_skeletons for list columns of unique keys: the connectivity of each structure that
+    can be read, sorted; each distinct structure once."""
+    each = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda m: F.struct(F.lit(c).alias("side"), m.alias("m")))
+    parts = rows.select(key, F.explode(F.concat(*(each(c) for c in sides))).alias("x")).select(key, "x.side", "x.m")
+    done = _by_molecule(parts, "m", connectivity, pa.string(), "string", "_s").filter("_s is not null")
+    of = lambda c: F.array_sort(F.collect_list(F.when(F.col("side") == c, F.col("_s")))).alias(f"{c}_skeletons")
+    return rows.join(parts.join(done, "m").groupBy(key).agg(*(of(c) for c in sides)), key, "left")
+
+
 def product_bucket(rows: DataFrame, key: str, products: str, out: str = "bucket") -> DataFrame:
-    """Adds the smallest of the products' skeletons (canonical text without charges, hydrogens,
-    isotopes and stereo marks), for unique keys; null without a parseable product."""
-    parts = rows.select(key, F.explode(products).alias("m"))
-    done = _by_molecule(parts, "m", lambda t: S.canonical(_BARE.sub(r"\1", t)) if S.valid(t) else None, pa.string(), "string", "_s")
-    return rows.join(parts.join(done, "m").groupBy(key).agg(F.min("_s").alias(out)), key, "left")
+    """Adds the smallest of the products' skeletons, for unique keys; null without a parseable product."""
+    done = skeleton_keys(rows.select(key, products), key, [products]).select(key, F.get(f"{products}_skeletons", F.lit(0)).alias(out))
+    return rows.join(done, key, "left")
 
 
 def tanimoto(a: Column, b: Column) -> Column:

@@ -26,13 +26,24 @@ def hash_order(key: Column, seed: int = SEED) -> Column:
 
 def stratified(df: DataFrame, key: str, strata: list[str], fraction: float, seed: int = SEED) -> DataFrame:
     """(key, strata, split): of each stratum of n rows, 0 validation rows if n is 1, else at least 1
-    and round-half-even(n * fraction). Null strata are strata. A stratum is ranked as a whole; give
-    strata that stay a small share of the rows."""
+    and round-half-even(n * fraction), the first in hash order. Null strata are strata. The cut is
+    found from counts per hash prefix; only rows of the prefix it falls in are ranked, so a stratum
+    that holds most rows is no task's work."""
+    rows = df.select(key, *strata, hash_order(F.col(key), seed).alias("_h")).withColumn("_p", F.substring("_h", 1, 4))
+    per = rows.groupBy(*strata, "_p").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*strata)
-    n = F.count("*").over(w)
+    n = F.sum("_n").over(w)
     want = F.when(n <= 1, 0).otherwise(F.greatest(F.lit(1), F.bround(n * F.lit(fraction), 0).cast("int")))
-    rank = F.row_number().over(w.orderBy(hash_order(F.col(key), seed), key))
-    return df.select(key, *strata, F.when(rank <= want, "validation").otherwise("train").alias("split"))
+    upto = per.withColumn("_u", F.sum("_n").over(w.orderBy("_p"))).withColumn("_w", want)
+    edge = upto.filter((F.col("_u") >= F.col("_w")) & (F.col("_u") - F.col("_n") < F.col("_w"))).select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(strata)), F.col("_p").alias("_edge"), (F.col("_w") - F.col("_u") + F.col("_n")).alias("_open"))
+    same = F.lit(True)
+    for i, c in enumerate(strata):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    cut = rows.join(edge, same, "left")
+    last = cut.filter("_p = _edge").withColumn("_r", F.row_number().over(w.orderBy("_h", key)))
+    return last.select(key, *strata, F.when(F.col("_r") <= F.col("_open"), "validation").otherwise("train").alias("split")).unionByName(
+        cut.filter("_edge is null or _p != _edge").select(key, *strata, F.when(F.col("_p") < F.col("_edge"), "validation").otherwise("train").alias("split"))
+    )
 
 
 def head_slice(df: DataFrame, key: str, fraction: float, seed: int = SEED) -> DataFrame:

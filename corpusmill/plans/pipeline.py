@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.operators import aggregates as A
 from corpusmill.operators import decontaminate as D
 from corpusmill.operators import dedup as U
 from corpusmill.operators import expand as X
@@ -21,7 +22,7 @@ from corpusmill.operators import ontology as O
 from corpusmill.operators import splits as P
 from corpusmill.operators import tasks as T
 from corpusmill.operators import validate as V
-from corpusmill.plans.export import gate, write_phase
+from corpusmill.plans.export import gate, write_phase, write_rejects
 from corpusmill.session import staged
 
 RECORD = "record_id string, source string, license string, provenance string, level string, name string, reactants array<string>, products array<string>, conditions string, steps array<struct<type:string,subtype:string,smiles:string>>"
@@ -97,8 +98,8 @@ def infer_phase(run: Run, records: DataFrame, fraction: float = 0.20) -> DataFra
     they make up the fraction."""
     have, lack = records.filter(F.size("steps") > 0), records.filter(F.size("steps") == 0)
     found = X.inferred(lack.drop("steps"), have.filter("is_template").select("name", "record_id", "steps"), "name", ["record_id"], ["steps"])
-    most = int(fraction / (1 - fraction) * have.count())
-    out = run.keep(have.unionByName(found.orderBy("record_id").limit(most).select(have.columns)), "inferred")
+    kept = A.capped(staged(found, "inferred-all"), ["record_id"], fraction, have.count())
+    out = run.keep(have.unionByName(kept.select(have.columns)), "inferred")
     run.gates["infer"] = gate("infer", out.agg(F.count("*").alias("records"), F.count_if(F.col("provenance") == "inferred").alias("inferred")))
     return out
 
@@ -120,18 +121,18 @@ def validate_phase(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]:
 def featured(records: DataFrame) -> DataFrame:
     """Signature, skeleton, step hash, reaction fingerprint and product bucket: computed once, used
     by decontamination and dedup."""
-    sig = FT.signature(F.col("reactants_keys"), F.col("products_keys"))
-    skel = FT.signature(FT.skeleton(F.col("reactants_keys")), FT.skeleton(F.col("products_keys")))
-    out = records.withColumn("sig", sig).withColumn("skel", skel).withColumn("step_hash", FT.step_hash(F.col("steps"), "subtype", "smiles"))
-    bits = FT.reaction_bits(out, "record_id", "reactants", "products")
-    # without a signature a record is in no bucket
-    bits = FT.product_bucket(bits, "record_id", "products").withColumn("bucket", F.when(F.col("sig").isNotNull(), F.col("bucket")))
-    return staged(bits, "featured")
-
-
-def decontaminate_phase(run: Run, records: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Records without those the benchmark contains; fails if any leak remains."""
-    f, b = featured(records), featured(benchmark).select("sig", "skel", F.col("step_hash").alias("steps"), "fp")
+    out = records.withColumn("sig", FT.signature(F.col("reactants_keys"), F.col("products_keys"))).withColumn("step_hash", FT.step_hash(F.col("steps"), "subtype", "smiles"))
+    out = FT.skeleton_keys(FT.reaction_bits(out, "record_id", "reactants", "products"), "record_id", ["reactants", "products"])
+    whole = F.col("sig").isNotNull()  # without a signature a record has no skeleton and no bucket
+    out = out.withColumn("skel", F.when(whole, FT.signature(F.col("reactants_skeletons"), F.col("products_skeletons")))).withColumn("bucket", F.when(whole, F.get("products_skeletons", F.lit(0))))
+    return staged(out.drop("reactants_skeletons", "products_skeletons"), "featured")
+
+
+def decontaminate_phase(run: Run, records: DataFrame, *benchmarks: DataFrame) -> DataFrame:
+    """Records without those that any of the held-out corpora (gold, templates) contains; fails if any
+    leak remains."""
+    held_out = [featured(b).select("sig", "skel", F.col("step_hash").alias("steps"), "fp") for b in benchmarks]
+    f, b = featured(records), D.blacklist(*held_out)
     judged = run.keep(D.reasons(f.withColumnRenamed("steps", "_steps").withColumnRenamed("step_hash", "steps"), b, "record_id", "19/20", "fp"), "judged")
     kept, removed = D.split_clean(judged)
     leaks = D.leaks(kept, b).first()["leaks"]
@@ -171,13 +172,16 @@ def split_phase(run: Run, records: DataFrame, fraction: float = 0.05) -> DataFra
     return out
 
 
-def curate(records: DataFrame, benchmark: DataFrame, allowed: DataFrame, moves: DataFrame, folder: str | None = None, fraction: float = 0.05) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
-    """(clean records, task rows, split, gates): all phases in order."""
+def curate(records: DataFrame, benchmark: DataFrame | list[DataFrame], allowed: DataFrame, moves: DataFrame, folder: str | None = None, fraction: float = 0.05) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
+    """(clean records, task rows, split, gates): all phases in order; benchmark is the held-out corpus
+    or a list of them. With a folder the phases, their rejects and the report are written there."""
     run = Run(folder)
     typed, _ = type_phase(run, normalize_phase(run, records), allowed, moves)
-    valid, _ = validate_phase(run, infer_phase(run, expand_phase(run, typed)))
-    gold = normalize_phase(Run(None), benchmark)
-    clean = dedup_phase(run, decontaminate_phase(run, valid, gold))
+    valid, rejects = validate_phase(run, infer_phase(run, expand_phase(run, typed)))
+    if folder is not None:
+        write_rejects(rejects, f"{folder}/rejects")
+    held_out = [normalize_phase(Run(None), b) for b in (benchmark if isinstance(benchmark, list) else [benchmark])]
+    clean = dedup_phase(run, decontaminate_phase(run, valid, *held_out))
     return clean, format_phase(run, clean), split_phase(run, clean, fraction), run.gates
 
 

@@ -10,6 +10,8 @@ from corpusmill.operators import features as FT
 from corpusmill.operators import splits as P
 from corpusmill.operators import tasks as T
 from corpusmill.operators.expand import randomized
+from corpusmill.operators.normalize import normalized
+from corpusmill.session import staged
 
 SYSTEM = "You answer questions about organic reaction mechanisms."
 
@@ -22,20 +24,43 @@ def rows_of(records: DataFrame, key: str, cot: bool = True) -> DataFrame:
 
 
 def augmented(train: DataFrame, key: str, variants: int) -> DataFrame:
-    """Train rows and up to so many copies with redrawn reactants; targets stay as they are."""
+    """Train rows and up to so many copies with redrawn reactants; targets stay as they are. Each
+    reactant is redrawn by itself, so lists keep their elements, salts included."""
     if variants <= 0:
         return train.withColumn("variant", F.lit(None).cast("int"))
-    drawn = randomized(train.select(key, F.array_join("reactants", ".").alias("m")).filter("m != ''"), key, "m", variants)
-    fresh = drawn.join(train, key).withColumn("prompt", F.concat(F.lit("Reactants: "), T.json_list(F.split("drawing", r"\.")), F.lit("\nProducts: "), T.json_list(F.col("products"))))
+    parts = train.select(key, F.posexplode("reactants").alias("p", "m")).filter("m != ''")
+    drawn = randomized(parts.select(F.struct(key, "p").alias("id"), "m"), "id", "m", variants)
+    # where a reactant has fewer drawings than asked for, its last one serves again
+    each = drawn.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("variant", "drawing"))).alias("d")).select("id.*", "d", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))).alias("variant"))
+    picked = each.select(key, "p", "variant", F.get("d", F.least(F.col("variant"), F.size("d") - 1))["drawing"].alias("drawing"))
+    lists = picked.groupBy(key, "variant").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "drawing"))), lambda s: s["drawing"]).alias("_r"))
+    lists = lists.groupBy(key, "_r").agg(F.min("variant").alias("variant"))
+    fresh = lists.join(train, key).filter(F.col("_r") != F.col("reactants"))
+    fresh = fresh.withColumn("prompt", F.concat(F.lit("Reactants: "), T.json_list(F.col("_r")), F.lit("\nProducts: "), T.json_list(F.col("products"))))
     fresh = fresh.withColumn("messages", F.transform("messages", lambda m: F.when(m["role"] == "user", F.struct(m["role"].alias("role"), F.col("prompt").alias("content"))).otherwise(m)))
-    return train.withColumn("variant", F.lit(None).cast("int")).unionByName(fresh.drop("drawing"))
+    return train.withColumn("variant", F.lit(None).cast("int")).unionByName(fresh.drop("_r"))
 
 
 def decontaminated(rows: DataFrame, benchmark: DataFrame, key: str) -> DataFrame:
-    """Rows whose molecules aren't the benchmark's; rows without molecules stay. Steps play no part
-    here. Works on canonical lists, so redrawn copies of a removed row go with it by their key."""
-    sig = lambda d: d.withColumn("sig", FT.signature(F.col("reactants"), F.col("products"))).withColumn("skel", F.lit(None).cast("string")).withColumn("steps", F.lit(None).cast("string"))
-    return D.split_clean(D.reasons(sig(rows), sig(benchmark), key))[0].drop("sig", "skel", "steps")
+    """Rows whose reaction isn't the benchmark's, by canonical molecules, skeletons and fingerprints of
+    at least 0.95 similarity; steps play no part here. Rows without a reaction stay. Judged once per
+    key, on the record's own molecules, so redrawn copies of a removed row go with it."""
+    known = featured_sides(benchmark.withColumn(key, F.monotonically_increasing_id()), key)
+    own = featured_sides(rows.groupBy(key).agg(F.min_by("reactants", F.coalesce("variant", F.lit(-1))).alias("reactants"), F.min_by("products", F.coalesce("variant", F.lit(-1))).alias("products")), key)
+    clean = D.split_clean(D.reasons(own, known, key, "19/20", "fp"))[0].select(key)
+    return rows.join(clean, key, "left_semi")
+
+
+def featured_sides(rows: DataFrame, key: str) -> DataFrame:
+    """(key, sig, skel, steps, fp) of reactants and products, keys unique; steps are null."""
+    canon = lambda c: F.array_sort(F.collect_list(F.when((F.col("side") == c) & F.col("ok"), F.col("mol_key"))))
+    each = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda m: F.struct(F.lit(c).alias("side"), m.alias("m")))
+    given = staged(rows.select(key, "reactants", "products"), "sides")
+    parts = given.select(key, F.explode(F.concat(each("reactants"), each("products"))).alias("x")).select(key, "x.*")
+    sig = parts.join(normalized(parts, "m"), "m").groupBy(key).agg(FT.signature(canon("reactants"), canon("products")).alias("sig"))
+    out = FT.skeleton_keys(FT.reaction_bits(given, key, "reactants", "products"), key, ["reactants", "products"])
+    skel = FT.signature(F.col("reactants_skeletons"), F.col("products_skeletons"))
+    return staged(out.join(sig, key, "left").select(key, "sig", skel.alias("skel"), F.lit(None).cast("string").alias("steps"), "fp"), "sides-featured")
 
 
 def build(records: DataFrame, benchmark: DataFrame, key: str, fraction: float = 0.03, variants: int = 0, seed: int = P.SEED) -> tuple[DataFrame, DataFrame]:

@@ -13,28 +13,31 @@ from corpusmill.operators import splits as P
 from corpusmill.operators.components import hash_to_min, star_edges
 from corpusmill.queries import query
 from corpusmill.queries.common import COLLAPSED, FULL, STEPS, full_rows, records
-from corpusmill.queries.records import SIGS, signatures
+from corpusmill.queries.records import SIGS, SKELETONS, signatures, skeletons
 from corpusmill.session import staged, table
 
 
 def _featured(spark, d):
     """Records with signature, skeleton and step hash."""
     hashes = full_rows(spark, d).groupBy("record_no").agg(F.min_by(FT.step_hash(F.col("reference"), "subtype", "smiles"), "row_id").alias("steps"))
-    trim = F.transform("reactants_smiles", lambda x: F.trim(x))
-    skel = records(spark, d).select("record_no", F.concat(F.lit("R:"), FT.side_key(FT.skeleton(trim))).alias("skel"))
-    return signatures(spark, d).join(skel, "record_no").join(hashes, "record_no", "left").select("record_no", "source", "split", "provenance", "mechanism_step_nums", "sig", "skel", "steps")
+    return signatures(spark, d).join(skeletons(spark, d), "record_no").join(hashes, "record_no", "left").select("record_no", "source", "split", "provenance", "mechanism_step_nums", "sig", "skel", "steps")
 
 
-_FEATURED = f"""{SIGS}, {FULL}, skels as (select record_no, 'R:' || nullif(array_to_string(list_sort(list_filter(list_transform(reactants_smiles, lambda x: string_split(trim(x), '-')[1]), lambda x: x is not null and x <> '')), '.'), '') as skel from mechanism_records),
+_FEATURED = f"""{SIGS}, {FULL}, {SKELETONS},
 hashes as (select record_no, sha1(array_to_string(list_transform(reference, lambda s: coalesce(s.subtype, '') || '|' || coalesce(s.smiles, '')), chr(10))) as steps from full_rows where len(reference) > 0 qualify row_number() over (partition by record_no order by row_id) = 1),
 featured as (select sigs.*, skel, steps from sigs join skels using (record_no) left join hashes using (record_no))"""
-_REASONS = f"""with {_FEATURED}, bench as (select * from featured where split = 'test'), cand as (select * from featured where split = 'train'),
+_REASONS = f"""with {_FEATURED}, bench as (select * from featured where split in ('validation', 'test')), cand as (select * from featured where split = 'train'),
 judged as (select *, case when sig in (select sig from bench where sig is not null) then 'inchikey_set_match' when skel in (select skel from bench where skel is not null) then 'skeleton_inchikey_match' when steps in (select steps from bench where steps is not null) then 'mechanism_hash_match' end as reason from cand)"""
 
 
+def _held_out(f):
+    """Both held-out corpora as one blacklist."""
+    return D.blacklist(f.filter("split = 'validation'"), f.filter("split = 'test'"))
+
+
 def _judged(spark, d):
     f = _featured(spark, d)
-    return D.reasons(f.filter("split = 'train'"), f.filter("split = 'test'"), "record_no")
+    return D.reasons(f.filter("split = 'train'"), _held_out(f), "record_no")
 
 
 @query(_REASONS + " select record_no, reason from judged where reason is not null")
@@ -52,10 +55,10 @@ def decon_report(spark, d):
     return D.report(_judged(spark, d))
 
 
-@query("select 0::bigint as leaks")
+@query(_REASONS + " select count(*) as leaks from judged where reason is null and sig in (select sig from bench where sig is not null)")
 def decon_leak_postcheck(spark, d):
     judged = staged(_judged(spark, d), "judged")
-    return D.leaks(D.split_clean(judged)[0], _featured(spark, d).filter("split = 'test'"))
+    return D.leaks(D.split_clean(judged)[0], _held_out(_featured(spark, d)))
 
 
 def _fingerprinted(spark, d):
@@ -68,7 +71,7 @@ def _fingerprinted(spark, d):
 
 def _judged_by_all(spark, d):
     f = staged(_fingerprinted(spark, d).drop("reactants_smiles", "products_smiles"), "fingerprinted")
-    return D.reasons(f.filter("split = 'train'"), f.filter("split = 'test'"), "record_no", "19/20", "fp")
+    return D.reasons(f.filter("split = 'train'"), _held_out(f), "record_no", "19/20", "fp")
 
 
 @query()

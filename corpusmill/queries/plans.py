@@ -16,19 +16,20 @@ def _records(spark, d):
 
 @query()
 def curation_pipeline(spark, d):
-    """All phases over train records with the test records as the benchmark; the clean ones come out."""
+    """All phases over train records with the validation and test records as held-out corpora; the
+    clean ones come out."""
     r = _records(spark, d)
     allowed = table(spark, d, "templates").select(F.lit("step").alias("type"), F.explode("subtypes").alias("subtype")).distinct()
     moves = spark.createDataFrame([("step", "dissociation", "step", "heterolytic_cleavage"), ("step", "coordination", None, None)], "from_type string, from_subtype string, to_type string, to_subtype string")
-    clean, _, split, _ = pipeline.curate(r.filter("split = 'train'").drop("split"), r.filter("split = 'test'").drop("split"), allowed, moves)
+    clean, _, split, _ = pipeline.curate(r.filter("split = 'train'").drop("split"), [r.filter(f"split = '{s}'").drop("split") for s in ("validation", "test")], allowed, moves)
     return clean.select("record_id", "source", "provenance", F.size("steps").alias("n_steps")).join(split.select("record_id", "split"), "record_id")
 
 
 @query()
 def training_rows(spark, d):
-    """Train rows with a redrawn copy each, decontaminated against the test split."""
+    """Train rows with a redrawn copy each, decontaminated against the held-out splits."""
     r = _records(spark, d)
-    train, _ = training_data.build(r.filter("split = 'train'"), r.filter("split = 'test'"), "record_id", 0.03, 1)
+    train, _ = training_data.build(r.filter("split = 'train'"), r.filter("split in ('validation', 'test')"), "record_id", 0.03, 1)
     return train.select("record_id", "variant", "level", "prompt", F.size("reference").alias("n_steps"))
 
 

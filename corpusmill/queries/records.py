@@ -204,9 +204,20 @@ def set_signature(spark, d):
     return signatures(spark, d).select("record_no", "sig")
 
 
-@query("select record_no, 'R:' || nullif(array_to_string(list_sort(list_filter(list_transform(reactants_smiles, lambda x: string_split(trim(x), '-')[1]), lambda x: x is not null and x <> '')), '.'), '') as skeleton from mechanism_records")
+_BARE = r"regexp_replace(regexp_replace(trim(x), '\[\d*(Br|Cl|[BCNOPSFI]|[bcnops])@{0,2}(?:H\d*)?(?:\++\d*|-+\d*)?(?::\d+)?\]', '\1', 'g'), '[/\\]', '', 'g')"
+_BARE_SIDE = "array_to_string(list_sort(list_filter(list_transform({0}, lambda x: " + _BARE.replace("{", "{{").replace("}", "}}") + "), lambda x: x is not null and x <> '')), '.')"
+SKELETONS = f"skels as (select record_no, 'R:' || nullif({_BARE_SIDE.format('reactants_smiles')}, '') || '>>P:' || nullif({_BARE_SIDE.format('products_smiles')}, '') as skel from mechanism_records)"
+
+
+def skeletons(spark, d):
+    """Records with the signature of their structures without charges, hydrogens, maps and stereo."""
+    bare = lambda c: FT.skeleton(F.transform(c, lambda x: F.trim(x)))
+    return records(spark, d).select("record_no", FT.signature(bare("reactants_smiles"), bare("products_smiles")).alias("skel"))
+
+
+@query(f"with {SKELETONS} select record_no, skel as skeleton from skels")
 def set_skeleton(spark, d):
-    return records(spark, d).select("record_no", F.concat(F.lit("R:"), FT.side_key(FT.skeleton(F.transform("reactants_smiles", lambda x: F.trim(x))))).alias("skeleton"))
+    return skeletons(spark, d).withColumnRenamed("skel", "skeleton")
 
 
 HASHES = f"{STEPS}, hashes as (select row_id, sha1(string_agg(coalesce(subtype, '') || '|' || coalesce(smiles, ''), chr(10) order by pos)) as step_hash from steps group by row_id)"

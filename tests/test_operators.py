@@ -167,3 +167,25 @@ def test_training_rows(spark):
     assert 3 not in set(t.id) | set(v.id) and not set(t.id) & set(v.id) and len(v) <= 2
     assert t.variant.notna().sum() > t.variant.isna().sum() and v.variant.isna().all()
     assert training_data.distillation_prompts(recs, "id").count() == 20
+
+
+def test_first_rows_and_hot_strata(spark):
+    rows = spark.range(5000).selectExpr("cast(hash(id) as bigint) as v", "id")
+    want = [r["id"] for r in rows.orderBy("v", "id").limit(1234).collect()]
+    assert sorted(r["id"] for r in A.first_rows(rows, ["v", "id"], 1234, 20).collect()) == sorted(want)
+    assert A.first_rows(rows, ["id"], 0).count() == 0 and A.first_rows(rows, ["id"], 9999).count() == 5000 and A.first_rows(rows.limit(0), ["id"], 5).count() == 0
+    assert sorted(r["id"] for r in A.first_rows(rows, ["id"], 3, 50).collect()) == [0, 1, 2]
+    df = spark.range(3000).selectExpr("id", "case when id < 2000 then 'hot' when id = 2999 then 'one' when id > 2900 then null end as s", "id % 2 as t")
+    got = P.stratified(df, "id", ["s", "t"], 0.05).toPandas()
+    n = got[got.split == "validation"].groupby(["s", "t"], dropna=False).size().to_dict()
+    assert len(got) == 3000 and n[("hot", 0)] == 50 and n[("hot", 1)] == 50 and ("one", 1) not in n and sum(n.values()) == 150
+    last = A.last_wins(spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 1, None)], "k int, o int, v string"), "k", ["o"])
+    assert {(r["k"], r["o"], r["v"]) for r in last.collect()} == {(1, 7, "b"), (2, 1, None)}
+
+
+def test_skeletons(spark):
+    bare = lambda ms: one(spark, FT.skeleton, ms, "array<string>")
+    assert bare(["[O-]C(=O)C", "[O-]c1ccccc1", "F/C=C/[C@@H](N)O", "[13CH3:2]C"]) == ["OC(=O)C", "Oc1ccccc1", "FC=CC(N)O", "CC"]
+    rows = spark.createDataFrame([(1, ["[O-]C(=O)C", "CN"]), (2, ["CC(=O)O", "NC"]), (3, ["[O-]c1ccccc1"]), (4, None), (5, ["?"])], "id int, r array<string>")
+    got = {r["id"]: r["r_skeletons"] for r in FT.skeleton_keys(rows, "id", ["r"]).collect()}
+    assert got[1] == got[2] != got[3] and got[4] is None and not got[5]
