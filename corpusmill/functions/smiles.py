@@ -229,8 +229,10 @@ def _default_h(mol: Mol, adj, i: int) -> int | None:
 def valid(smiles: str | None) -> bool:
     """Well-formed text whose unbracketed atoms keep their valences."""
     mol = parse(smiles)
-    if mol is None:
-        return False
+    return mol is not None and _sound(mol)
+
+
+def _sound(mol: Mol) -> bool:
     adj = mol.neighbours()
     return all(a.hydrogens is not None or _default_h(mol, adj, i) is not None for i, a in enumerate(mol.atoms))
 
@@ -326,8 +328,61 @@ def _write(mol: Mol, adj, code: list[int], root: int, keep_maps: bool) -> str:
 def canonical(smiles: str | None, keep_maps: bool = False) -> str | None:
     """The same text for all drawings of a molecule; None for null or malformed text."""
     mol = parse(smiles)
+    return None if mol is None else _canonical(mol, keep_maps)
+
+
+def substituted(smiles: str, fragments: dict[int, str], default: str = "[H]") -> str | None:
+    """The canonical structure with each attachment point replaced on the graph by the first atom of
+    its label's fragment, a hydrogen by none; None where a point has not exactly one neighbour, or
+    the result isn't valid."""
+    mol = parse(smiles)
     if mol is None:
         return None
+    for i in [k for k, a in enumerate(mol.atoms) if a.element == "*"]:
+        near = [k for k, (a, b, _) in enumerate(mol.bonds) if i in (a, b)]
+        frag = parse(fragments.get(mol.atoms[i].map_no, default))
+        if len(near) != 1 or frag is None:
+            return None
+        k = near[0]
+        if len(frag.atoms) == 1 and frag.atoms[0].element == "H":
+            mol.atoms[i] = frag.atoms[0]
+        else:
+            # the fragment's first atom takes the point's place, the others come behind all atoms
+            at = [i, *range(len(mol.atoms), len(mol.atoms) + len(frag.atoms) - 1)]
+            mol.atoms[i] = frag.atoms[0]
+            mol.atoms += frag.atoms[1:]
+            mol.closures += [len(mol.bonds) + c for c in frag.closures]
+            mol.bonds += [(at[a], at[b], o) for a, b, o in frag.bonds]
+        mol.bonds[k] = (*mol.bonds[k][:2], "")
+    bare = _without_hydrogens(mol)
+    return _canonical(bare, False) if _sound(bare) else None
+
+
+def _bond_of(mol: Mol, i: int) -> int:
+    return next(k for k, (a, b, _) in enumerate(mol.bonds) if i in (a, b))
+
+
+def _without_hydrogens(mol: Mol) -> Mol:
+    """The molecule with hydrogen atoms on other atoms counted there."""
+    adj = mol.neighbours()
+    gone = {i for i, a in enumerate(mol.atoms) if a.element == "H" and not a.charge and not a.isotope and len(adj[i]) == 1 and mol.atoms[adj[i][0][0]].element != "H"}
+    for i in gone:
+        host = mol.atoms[adj[i][0][0]]
+        if host.hydrogens is not None:
+            host.hydrogens += 1
+    adj = [[x for x in near if x[0] not in gone] for near in adj]
+    for i in {a for g in gone for a in mol.bonds[_bond_of(mol, g)][:2]} - gone:
+        host = mol.atoms[i]
+        if host.hydrogens is not None and not host.charge and not host.isotope and _default_h(mol, adj, i) == host.hydrogens:
+            host.hydrogens = None
+    to = {i: n for n, i in enumerate(k for k in range(len(mol.atoms)) if k not in gone)}
+    kept = [k for k, (a, b, _) in enumerate(mol.bonds) if a in to and b in to]
+    closing = set(mol.closures)
+    return Mol([mol.atoms[i] for i in to], [(to[mol.bonds[k][0]], to[mol.bonds[k][1]], mol.bonds[k][2]) for k in kept], closures=[n for n, k in enumerate(kept) if k in closing])
+
+
+def _canonical(mol: Mol, keep_maps: bool) -> str:
+    mol.bonds = [(a, b, "" if o == "-" else o) for a, b, o in mol.bonds]
     uncharge(mol)
     aromatize(mol)
     parts = []

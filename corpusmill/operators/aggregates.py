@@ -29,6 +29,25 @@ def placed_quantiles(df: DataFrame, value: str, places: dict[str, float], by: li
     return upto.groupBy(*by).agg(F.first("_n").alias("n"), *(at(p).alias(name) for name, p in places.items()), F.max(value).alias("max"))
 
 
+def length_report(df: DataFrame, tokens: str, by: list[str], budget: int) -> DataFrame:
+    """Per group n, the lengths at places n // 2 and floor(0.95 n), the greatest, and how many texts
+    are over the budget; tokens come of any tokenizer."""
+    over = df.filter(F.col(tokens).isNotNull()).groupBy(*by).agg(F.count_if(F.col(tokens) > budget).alias("over_budget"))
+    placed = placed_quantiles(df, tokens, {"p50": 0.5, "p95": 0.95}, by)
+    same = F.lit(True)
+    for c in by:
+        same = same & placed[c].eqNullSafe(over[c])
+    return placed.join(over, same).select(*(placed[c] for c in by), "n", "p50", "p95", "max", "over_budget")
+
+
+def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """A top-k report for the console: the first n records with the sizes of their lists."""
+    cols = [c for c in ("reaction_id", "provenance", "name") if c in df.columns]
+    sizes = [F.greatest(F.size(c), F.lit(0)).alias(f"n_{c.split('_')[0]}") for c in ("reactants_smiles", "products_smiles") if c in df.columns]
+    first = [F.get("reactants_smiles", F.lit(0)).alias("first_reactant")] if "reactants_smiles" in df.columns else []
+    return df.orderBy(*order).limit(n).select(*order, *(c for c in cols if c not in order), *sizes, *first)
+
+
 def most_common(df: DataFrame, col: str, n: int) -> DataFrame:
     """The n most frequent values, equal ones in the values' order."""
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), col).limit(n)

@@ -20,41 +20,12 @@ _POINT = re.compile(r"\[\*:(\d+)\]")
 
 
 def substitute(smiles: str, fragments: dict[int, str]) -> str | None:
-    """The structure with each attachment point replaced by its fragment; a label without one and
-    the fragment [H] become hydrogen. None if the result isn't valid.
-
-    Works on the graph's text: a point is a leaf with one neighbour, so it can be written as a
-    branch. Points that open a structure are first written behind their neighbour.
-    """
-    text = smiles.strip()
-    for _ in range(64):
-        m = _POINT.match(text)
-        if not m:
-            break
-        rest = text[m.end() :]
-        if not rest:
-            return None
-        atom = re.match(r"(\[[^\]]*\]|Br|Cl|[A-Za-z*])((?:[-=#]?(?:%\d\d|\d))*)", rest)
-        if not atom:
-            return None
-        text = atom.group() + "(" + m.group() + ")" + rest[atom.end() :]
-    taken = [int(d) for d in re.findall(r"\d", _POINT.sub("", text))]
-    ring = max(taken, default=0)
-
-    def put(m: re.Match) -> str:
-        nonlocal ring
-        frag = fragments.get(int(m[1]), "[H]")
-        if frag == "[H]":
-            return "[H]"
-        found = sorted(set(re.findall(r"\d", frag)))
-        for d in found:
-            ring += 1
-            frag = frag.replace(d, f"%{ring:02d}" if ring > 9 else str(ring))
-        return frag
-
-    text = _POINT.sub(put, text)
-    text = re.sub(r"\(\[H\]\)|(?<=[A-Za-z0-9\])])\[H\]$", "", text)
-    return text if S.valid(text) else None
+    """The canonical structure with its attachment points replaced on the graph; a label without a
+    fragment and the fragment [H] become hydrogen. A structure without points comes out canonical.
+    None if the result isn't valid."""
+    if _POINT.search(smiles):
+        return S.substituted(smiles.strip(), fragments)
+    return S.canonical(smiles) if S.valid(smiles) else None
 
 
 def combinations(labels: list[int], fragments: tuple[str, ...] = FRAGMENTS, varied: int = VARIED, most: int = MOST) -> list[dict[int, str]]:
@@ -64,8 +35,9 @@ def combinations(labels: list[int], fragments: tuple[str, ...] = FRAGMENTS, vari
 
 
 def expanded(templates: DataFrame, key: str, reactants: str, products: str, steps: str, most: int = MOST) -> DataFrame:
-    """(key, instance_id, combo, reactants, products, step_forms) of every valid instance; of equal
-    product lists of a template the first stays. Templates without labels give none."""
+    """(key, instance_id, combo, reactants, products, step_forms) of every valid instance, all structures
+    canonical; of equal product lists of a template the first stays. Templates without labels give
+    none."""
     ddl = {f.name: f.dataType.simpleString() for f in templates.schema}
     texts = "array<string>"
 
@@ -76,7 +48,7 @@ def expanded(templates: DataFrame, key: str, reactants: str, products: str, step
                 labels = sorted({int(x) for t in [*(rs or []), *(ps or []), *(ss or [])] for x in _POINT.findall(t or "")})
                 seen = set()
                 for i, combo in enumerate(combinations(labels, most=most) if labels else []):
-                    made = [[substitute(t, combo) if _POINT.search(t) else t for t in side or []] for side in (rs, ps, ss)]
+                    made = [[substitute(t or "", combo) for t in side or []] for side in (rs, ps, ss)]
                     if any(x is None for side in made for x in side) or tuple(made[1]) in seen:
                         continue
                     seen.add(tuple(made[1]))

@@ -41,22 +41,19 @@ GATE = Kind("gate", (("inputs", Kind("input")), ("checks", Kind("check", (("fail
 
 def _read(text):
     """The value behind text, however often it was encoded; None if it isn't complete JSON."""
-    for _ in range(8):
-        if not isinstance(text, str):
-            return text
+    while isinstance(text, str):
         try:
             text = json.loads(text)
         except (ValueError, RecursionError):
             return None
-    return None
+    return text
 
 
 def _listed(value, kind: Kind, wrappers: tuple[str, ...] = ()) -> list:
     """The elements that value stands for, each at its position."""
     value = _read(value) if isinstance(value, str) else value
-    for _ in range(8):
-        if isinstance(value, dict) and not any(m in value for m in kind.marks) and (inner := next((w for w in wrappers if w in value), None)):
-            value = _read(value[inner]) if isinstance(value[inner], str) else value[inner]
+    while isinstance(value, dict) and not any(m in value for m in kind.marks) and (inner := next((w for w in wrappers if w in value), None)):
+        value = _read(value[inner]) if isinstance(value[inner], str) else value[inner]
     if isinstance(value, list):
         return value
     if not isinstance(value, dict):
@@ -68,9 +65,8 @@ def _listed(value, kind: Kind, wrappers: tuple[str, ...] = ()) -> list:
 
 def _named(value, kind: Kind, wrappers: tuple[str, ...], name_field: str) -> list[tuple[str, dict]]:
     """(name, object) of objects filed under names, or listed with their name in a field."""
-    for _ in range(8):
-        if isinstance(value, dict) and (inner := next((w for w in wrappers if w in value), None)):
-            value = _read(value[inner]) if isinstance(value[inner], str) else value[inner]
+    while isinstance(value, dict) and (inner := next((w for w in wrappers if w in value), None)):
+        value = _read(value[inner]) if isinstance(value[inner], str) else value[inner]
     if isinstance(value, dict) and isinstance(value.get(name_field), str):
         value = [value]
     if isinstance(value, dict):

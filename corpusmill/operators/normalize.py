@@ -24,6 +24,12 @@ def as_list(value: Column) -> Column:
     return F.coalesce(F.filter(F.split(value, r"\."), lambda x: x != ""), F.array().cast("array<string>"))
 
 
+def as_lists(df: DataFrame, col: str) -> Column:
+    """The column as a list of texts: text by as_list(); a list keeps its elements whole, as text."""
+    value = F.col(col)
+    return as_list(value) if df.schema[col].dataType.typeName() == "string" else F.coalesce(value.cast("array<string>"), F.array().cast("array<string>"))
+
+
 def strip_cx(value: Column) -> Column:
     return F.regexp_replace(value, CX_SUFFIX, "")
 
@@ -137,6 +143,12 @@ def sanitize_stats(items: DataFrame, source: str, ok: str) -> DataFrame:
     return items.groupBy(source).agg(F.count("*").alias("n"), good.alias("n_ok"), F.round(100 * good / F.count("*"), 4).alias("pct"))
 
 
+def sanitize_reasons(items: DataFrame, source: str, ok: str, reason: str) -> DataFrame:
+    """(source, reason, n) of the values that failed; without a reason they count as unknown."""
+    bad = items.filter(~F.coalesce(F.col(ok), F.lit(False)))
+    return bad.groupBy(source, F.coalesce(reason, F.lit("unknown")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 Resolver = Callable[[str], tuple[str | None, str | None]]
 
 

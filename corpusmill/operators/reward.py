@@ -29,6 +29,25 @@ def components(parsed: Column, s_partial: Column, v: Column) -> Column:
     return F.struct(gated(parsed, s_partial, v).alias("reward"), F.when(ok, v).otherwise(0.0).alias("validity"), F.when(ok, W_FORMAT).otherwise(0.0).alias("format"))
 
 
+def standalone(parsed: Column, n_pred: Column, v: Column, round_trip: Column | None = None) -> dict[str, Column]:
+    """The signals that also stand alone: validity, format and round trip; 0 for outputs without steps,
+    and for a round trip on which the model abstains."""
+    ok = F.coalesce(parsed & (n_pred > 0), F.lit(False))
+    given = lambda c: F.when(ok, F.coalesce(c, F.lit(0.0))).otherwise(0.0)
+    return {"validity": given(v), "format": F.when(ok, 1.0).otherwise(0.0), "round_trip": given(F.lit(0.0) if round_trip is None else round_trip)}
+
+
+def composed(kind: str, parsed: Column, n_pred: Column, s_partial: Column, v: Column, round_trip: Column | None = None) -> dict[str, Column]:
+    """The rewards of a training run by name: omes has the gated reward, validity and format;
+    omes+roundtrip also counts the round trip, in the reward and by itself. Others are an error."""
+    if kind not in ("omes", "omes+roundtrip"):
+        raise ValueError(f"unknown reward {kind}")
+    with_trip = kind == "omes+roundtrip"
+    alone = standalone(parsed, n_pred, v, round_trip)
+    out = {"reward": gated(parsed & (n_pred > 0), s_partial, v, round_trip if with_trip else None), "validity": alone["validity"], "format": alone["format"]}
+    return out | ({"round_trip": alone["round_trip"]} if with_trip else {})
+
+
 def accepted(attempts: DataFrame, key: str, attempt: str, threshold: float = 0.9, validity: float = 1.0, most: int = 1) -> DataFrame:
     """The first of at most so many attempts per key that parses and reaches both bounds."""
     good = attempts.filter((F.col(attempt) <= most) & F.col("parsed") & (F.col("s_partial") >= threshold) & (F.col("v") >= validity))

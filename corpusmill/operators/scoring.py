@@ -154,11 +154,16 @@ def scored(rows: DataFrame, key: str, reference: str, output: str) -> DataFrame:
 
 
 def parsed_steps(text: Column) -> Column:
-    """JVM-side: the step list of tagged JSON text; null if unreadable."""
-    tagged = F.regexp_extract(text, r"(?s)\[ANSWER\]\s*(.*?)\s*(?:\[/ANSWER\]|$)", 1)
-    wide = F.regexp_extract(text, r"(?s)(\[.*\])", 1)
-    schema = "array<struct<step:int,type:string,subtype:string,intermediate_smiles:string>>"
-    return F.coalesce(F.from_json(F.when(tagged != "", tagged), schema), F.from_json(F.when(tagged == "", wide), schema))
+    """JVM-side, by the rules of parse_steps() for text: the step list in answer tags (the closing one
+    may lack) or the whole, without code fences; a list, an object's mechanism, or the widest [...];
+    null if unreadable."""
+    tagged = F.regexp_extract(text, r"(?is)\[ANSWER\](.*?)(?:\[/ANSWER\]|\z)", 1)
+    body = F.trim(F.when(F.upper(text).contains("[ANSWER]"), tagged).otherwise(text), F.lit(" \n\r\t"))
+    body = F.regexp_replace(body, r"^\s*```[a-zA-Z]*\s*|\s*```\s*$", "")
+    wide = F.regexp_extract(body, r"(?s)(\[.*\])", 1)
+    steps = "array<struct<step:int,type:string,subtype:string,intermediate_smiles:string>>"
+    listed = lambda t: F.from_json(F.when(t.startswith("["), t), steps)
+    return F.coalesce(listed(body), F.from_json(F.when(body.startswith("{"), body), f"struct<mechanism:{steps}>")["mechanism"], listed(wide))
 
 
 def against_gold(gold: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
@@ -192,3 +197,9 @@ def format_check(scores: DataFrame) -> DataFrame:
     """One row: how many outputs score at least 0.99 against their own references, and the means."""
     perfect = F.count_if((F.col("s_total") >= 0.99) & (F.col("s_partial") >= 0.99))
     return scores.agg(F.count("*").alias("n"), perfect.alias("perfect"), F.round(perfect / F.count("*"), 6).alias("fraction"), F.round(F.avg("s_total"), 4).alias("mean_s_total"), F.round(F.avg("s_partial"), 4).alias("mean_s_partial"))
+
+
+def mismatches(scores: DataFrame, key: str, n: int = 20) -> DataFrame:
+    """A top-k report: the first n outputs, by key, that score below 0.99 against their own references."""
+    bad = scores.filter((F.col("s_total") < 0.99) | (F.col("s_partial") < 0.99))
+    return bad.select(key, "s_partial", "s_total").orderBy(key).limit(n)

@@ -52,9 +52,9 @@ def answer(steps: Column, cot: bool = False, rationale: str | None = None) -> Co
     return F.concat(step_lines(steps, rationale), F.lit(f"\n{OPEN}\n"), body, F.lit(f"\n{CLOSE}")) if cot else body
 
 
-def mechanism_full(rows: DataFrame, key: str, steps: str, user: Column, system: str) -> DataFrame:
-    """One row per record with steps."""
-    return rows.filter(F.size(steps) > 0).select(key, F.lit("mechanism_full").alias("task"), chat(system, user, answer(F.col(steps), True)).alias("messages"), reference(F.col(steps)).alias("reference"))
+def mechanism_full(rows: DataFrame, key: str, steps: str, user: Column, system: str, rationale: str | None = None) -> DataFrame:
+    """One row per record with steps; rationale names the field with a step's reason, if there is one."""
+    return rows.filter(F.size(steps) > 0).select(key, F.lit("mechanism_full").alias("task"), chat(system, user, answer(F.col(steps), True, rationale)).alias("messages"), reference(F.col(steps)).alias("reference"))
 
 
 def next_step(rows: DataFrame, key: str, steps: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """The curation pipeline: every phase a function from frames to frames, written and reported in between.
 
 Records have record_id, source, provenance, level, name, reactants and products (lists of
-structures), conditions and steps (array<struct<type, subtype, smiles>>). Phase results can be
+structures), conditions and steps (array<struct<step, type, subtype, smiles, rationale>>; the number
+and the reason given for a step are carried through). Phase results can be
 written as tables; nothing but counts comes to the driver.
 """
 
@@ -25,7 +26,22 @@ from corpusmill.operators import validate as V
 from corpusmill.plans.export import gate, write_phase, write_rejects
 from corpusmill.session import staged
 
-RECORD = "record_id string, source string, license string, provenance string, level string, name string, reactants array<string>, products array<string>, conditions string, steps array<struct<type:string,subtype:string,smiles:string>>"
+RECORD = "record_id string, source string, license string, provenance string, level string, name string, reactants array<string>, products array<string>, conditions string, steps array<struct<step:int,type:string,subtype:string,smiles:string,rationale:string>>"
+
+
+STEPS = "array<struct<step:int,type:string,subtype:string,smiles:string,rationale:string>>"
+
+
+def _clean_steps(records: DataFrame) -> DataFrame:
+    """Steps with the fields of STEPS alone; missing ones are null."""
+    have = records.schema["steps"].dataType.elementType.names
+    names = ("step", "type", "subtype", "smiles", "rationale")
+    return records.withColumn("steps", F.transform("steps", lambda s: F.struct(*((s[n] if n in have else F.lit(None)).cast("int" if n == "step" else "string").alias(n) for n in names))))
+
+
+def _gathered(steps: DataFrame, pos: str) -> DataFrame:
+    """(record_id, x): the steps in order, out of rows with their fields."""
+    return steps.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(pos, F.struct("step", "type", "subtype", "smiles", "rationale").alias("s")))), lambda t: t["s"]).alias("x"))
 
 
 @dataclass
@@ -47,6 +63,7 @@ def normalize_phase(run: Run, records: DataFrame) -> DataFrame:
     """Canonical structures on both sides and in the steps (failures keep their text), molecule keys,
     and the level where it is missing."""
     k = run.kernel or N.SmilesKernel()
+    records = _clean_steps(records)
     forms = records.select(F.explode(F.concat(F.coalesce("reactants", F.array()), F.coalesce("products", F.array()), F.coalesce(F.transform("steps", lambda s: s["smiles"]), F.array()))).alias("m"))
     done = run.keep(N.normalized(forms, "m", k), "molecules")
     names = done.select("m", "canonical", "mol_key", "ok")
@@ -58,9 +75,8 @@ def normalize_phase(run: Run, records: DataFrame) -> DataFrame:
 
     out = side(side(records, "reactants"), "products")
     parts = records.select("record_id", F.posexplode("steps").alias("p", "s")).select("record_id", "p", "s.*").join(names.withColumnRenamed("m", "smiles"), "smiles", "left")
-    steps = parts.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("p", F.struct("type", "subtype", F.coalesce("canonical", "smiles").alias("smiles")).alias("s")))).alias("x"))
-    out = out.drop("steps").join(steps, "record_id", "left").withColumn("steps", F.transform("x", lambda s: s["s"])).drop("x")
-    out = out.withColumn("steps", F.coalesce("steps", F.array().cast("array<struct<type:string,subtype:string,smiles:string>>")))
+    steps = _gathered(parts.withColumn("smiles", F.coalesce("canonical", "smiles")), "p")
+    out = out.drop("steps").join(steps, "record_id", "left").withColumn("steps", F.coalesce("x", F.array().cast(STEPS))).drop("x")
     out = out.withColumn("level", F.coalesce("level", N.level_of(F.size("steps")))).withColumn("is_template", N.is_template(F.concat("reactants", "products", F.transform("steps", lambda s: s["smiles"]))))
     run.gates["normalize"] = gate("normalize", done.agg(F.count("*").alias("molecules"), F.count_if("ok").alias("ok")))
     return run.keep(out, "normalized")
@@ -70,9 +86,9 @@ def type_phase(run: Run, records: DataFrame, allowed: DataFrame, moves: DataFram
     """Steps remapped to allowed pairs; records with a step that can't be go to the rejects."""
     steps = records.select("record_id", F.posexplode("steps").alias("pos", "s")).select("record_id", "pos", "s.*")
     good, rejects = O.remap(steps, allowed, moves, "record_id", "pos")
-    again = good.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("pos", F.struct("type", "subtype", "smiles").alias("s")))).alias("x"))
+    again = _gathered(good, "pos")
     rejects = run.keep(rejects, "typing_rejects")
-    out = records.join(rejects.select("record_id"), "record_id", "left_anti").drop("steps").join(again, "record_id", "left").withColumn("steps", F.coalesce(F.transform("x", lambda s: s["s"]), F.array().cast("array<struct<type:string,subtype:string,smiles:string>>"))).drop("x")
+    out = records.join(rejects.select("record_id"), "record_id", "left_anti").drop("steps").join(again, "record_id", "left").withColumn("steps", F.coalesce("x", F.array().cast(STEPS))).drop("x")
     out = run.keep(out, "typed")
     run.gates["type"] = gate("type", out.agg(F.count("*").alias("kept")).crossJoin(rejects.agg(F.count("*").alias("rejected"))))
     return out, rejects
@@ -85,7 +101,7 @@ def expand_phase(run: Run, typed: DataFrame, most: int = X.MOST) -> DataFrame:
     known = typed.filter("not is_template").select(F.explode("products").alias("m"))
     new = X.unknown_only(made, known, "instance_id", "products", "m")
     rows = new.join(templates.select("record_id", "source", "license", "level", "name", "conditions", F.col("steps").alias("old")), "record_id")
-    steps = F.transform(F.arrays_zip("old", "step_forms"), lambda z: F.struct(z["old"]["type"].alias("type"), z["old"]["subtype"].alias("subtype"), z["step_forms"].alias("smiles")))
+    steps = F.transform(F.arrays_zip("old", "step_forms"), lambda z: z["old"].withField("smiles", z["step_forms"]))
     fresh = rows.select(F.col("instance_id").alias("record_id"), "source", "license", F.lit("template_expanded").alias("provenance"), "level", "name", "reactants", "products", "conditions", steps.alias("steps"), F.lit(False).alias("is_template"))
     k = lambda c: F.transform(c, lambda m: F.concat(F.lit("SMI:"), m))
     out = run.keep(typed.unionByName(fresh.withColumn("reactants_keys", k("reactants")).withColumn("products_keys", k("products"))), "expanded")
@@ -157,7 +173,7 @@ def format_phase(run: Run, records: DataFrame, system: str = "You answer questio
     user = F.concat(F.lit("Give the full mechanism.\nReactants: "), T.json_list(F.col("reactants")), F.lit("\nProducts: "), T.json_list(F.col("products")))
     nxt = T.next_step(records, "record_id", "steps").select("record_id", F.lit("mechanism_next_step").alias("task"), F.concat(F.lit("Steps so far: "), T.json_list(F.transform("done", lambda s: s["smiles"])), F.lit("\nGive the next step.")).alias("user"), F.col("smiles").alias("assistant"))
     out = T.union_tasks(
-        T.mechanism_full(records, "record_id", "steps", user, system), nxt, T.forward_prediction(records, "record_id", "reactants", "products", conditions), T.retrosynthesis(records, "record_id", "reactants", "products"), T.reagent_prediction(records, "record_id", "reactants", "products", conditions)
+        T.mechanism_full(records, "record_id", "steps", user, system, "rationale"), nxt, T.forward_prediction(records, "record_id", "reactants", "products", conditions), T.retrosynthesis(records, "record_id", "reactants", "products"), T.reagent_prediction(records, "record_id", "reactants", "products", conditions)
     )
     out = run.keep(out, "tasks")
     run.gates["format"] = gate("format", out.agg(F.count("*").alias("rows"), F.countDistinct("task").alias("tasks")))
@@ -189,5 +205,5 @@ def records_of(table: DataFrame, chats: DataFrame) -> DataFrame:
     """The pipeline's records out of the driver's tables; a record's steps are its reference."""
     ref = chats.filter("task = 'mechanism_full'").groupBy("record_no").agg(F.min_by("reference", "row_id").alias("r"))
     trim: Column = lambda c: F.transform(c, lambda m: F.trim(m))
-    steps = F.coalesce(F.transform("r", lambda s: F.struct(F.lit("step").alias("type"), s["subtype"].alias("subtype"), s["smiles"].alias("smiles"))), F.array().cast("array<struct<type:string,subtype:string,smiles:string>>"))
+    steps = F.coalesce(F.transform("r", lambda s, i: F.struct((i + 1).alias("step"), F.lit("step").alias("type"), s["subtype"].alias("subtype"), s["smiles"].alias("smiles"), F.lit(None).cast("string").alias("rationale"))), F.array().cast(STEPS))
     return table.join(ref, "record_no", "left").select(F.col("record_no").cast("string").alias("record_id"), "source", "license", "provenance", "level", "name", trim("reactants_smiles").alias("reactants"), trim("products_smiles").alias("products"), "conditions", steps.alias("steps"), "split")

@@ -16,11 +16,24 @@ from corpusmill.session import staged
 SYSTEM = "You answer questions about organic reaction mechanisms."
 
 
+def clean_mechanisms(records: DataFrame, key: str, least: float = 1.0) -> DataFrame:
+    """Records of which at least that fraction of steps has a valid structure, with canonical ones in
+    their steps; those without steps are dropped. Each distinct structure is read once."""
+    each = records.select(key, F.posexplode("steps").alias("p", "s")).withColumn("m", F.col("s.smiles"))
+    done = normalized(each, "m").select(F.col("m").alias("_m"), "canonical", "ok")
+    judged = each.join(done, F.col("m").eqNullSafe(F.col("_m")), "left").withColumn("s", F.col("s").withField("canonical", F.col("canonical")).withField("ok", F.col("ok")))
+    steps = judged.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "s"))), lambda t: t["s"]).alias("_steps"))
+    names = records.schema["steps"].dataType.elementType.names
+    kept = T.clean_steps(records.join(steps, key), "_steps", "ok", "canonical", "smiles", least)
+    return kept.withColumn("steps", F.transform("_steps", lambda s: F.struct(*(s[n].alias(n) for n in names)))).drop("_steps")
+
+
 def rows_of(records: DataFrame, key: str, cot: bool = True) -> DataFrame:
     """(key, level, reactants, messages, prompt, reference) of records with steps."""
+    rationale = "rationale" if "rationale" in records.schema["steps"].dataType.elementType.names else None
     user = F.concat(F.lit("Reactants: "), T.json_list(F.col("reactants")), F.lit("\nProducts: "), T.json_list(F.col("products")))
     rows = records.filter(F.size("steps") > 0)
-    return rows.select(key, "level", "reactants", "products", T.chat(SYSTEM, user, T.answer(F.col("steps"), cot)).alias("messages"), user.alias("prompt"), T.reference(F.col("steps")).alias("reference"))
+    return rows.select(key, "level", "reactants", "products", T.chat(SYSTEM, user, T.answer(F.col("steps"), cot, rationale)).alias("messages"), user.alias("prompt"), T.reference(F.col("steps")).alias("reference"))
 
 
 def augmented(train: DataFrame, key: str, variants: int) -> DataFrame:
@@ -64,9 +77,10 @@ def featured_sides(rows: DataFrame, key: str) -> DataFrame:
 
 
 def build(records: DataFrame, benchmark: DataFrame, key: str, fraction: float = 0.03, variants: int = 0, seed: int = P.SEED) -> tuple[DataFrame, DataFrame]:
-    """(train, validation): split, augment train only, shuffle, decontaminate both. The order is a
-    contract: copies come of train rows alone, and nothing leaks past the last step."""
-    rows = rows_of(records, key)
+    """(train, validation): only mechanisms whose structures are all valid, then split, augment train
+    only, shuffle, decontaminate both. The order is a contract: copies come of train rows alone, and
+    nothing leaks past the last step."""
+    rows = staged(rows_of(clean_mechanisms(records, key), key), "training-rows")
     parts = rows.join(P.head_slice(rows.select(key), key, fraction, seed), key)
     train = augmented(parts.filter("split = 'train'").drop("split"), key, variants)
     order = P.hash_order(F.concat_ws("|", F.col(key).cast("string"), F.coalesce(F.col("variant").cast("string"), F.lit(""))), seed)

@@ -36,7 +36,7 @@ _GATES = """gates_all as (select parent_key, case when json_type(v) = 'OBJECT' a
 gate as (select parent_key, 'gate' as kind, k as pos_path, json_extract(v, '$."' || k || '"') as e from (select parent_key, v, unnest(json_keys(v)) as k from gates_all where json_type(v) = 'OBJECT') where json_type(json_extract(v, '$."' || k || '"')) = 'OBJECT'
   union all select parent_key, 'gate', json_extract_string(e, '$.phase'), e from (select parent_key, unnest(list_transform(range(json_array_length(v)::bigint), lambda i: json_extract(v, '$[' || i::varchar || ']'))) as e from gates_all where json_type(v) = 'ARRAY') where json_type(e) = 'OBJECT')"""
 
-_P3 = f"""with m0 as (select * from {_unwrapped("mechanism_records", "record_no", "mechanism")} where v is not null),
+_OBJECTS = f"""with m0 as (select * from {_unwrapped("mechanism_records", "record_no", "mechanism")} where v is not null),
 m1 as (select parent_key, case when json_type(v) = 'OBJECT' and json_exists(v, '$.mechanism') then v->'mechanism' else v end as v from m0),
 m2 as (select parent_key, case when json_type(v) = 'OBJECT' and json_exists(v, '$.steps') then v->'steps' else v end as v from m1),
 {_exploded("step", "m2", "v", "''", "step", True)},
@@ -47,7 +47,9 @@ g0 as (select * from {_unwrapped("data_cards", "card_no", "gates")} where v is n
 {_exploded("input", "gate", "(e->'inputs')", "pos_path || '.'", "input")},
 {_exploded("chk", "gate", "(e->'checks')", "pos_path || '.'", "check")},
 {_exploded("failure", "chk", "(e->'failures')", "pos_path || '.'", "failure")}
-""" + " union all ".join(f"select '{t}' as parent_table, parent_key, kind, pos_path from {c}" for t, cs in (("mechanism_records", ("step", "arrow", "species", "evidence")), ("data_cards", ("gate", "input", "chk", "failure"))) for c in cs)
+"""
+_WHERE = (("mechanism_records", ("step", "arrow", "species", "evidence")), ("data_cards", ("gate", "input", "chk", "failure")))
+_P3 = _OBJECTS + " union all ".join(f"select '{t}' as parent_table, parent_key, kind, pos_path from {c}" for t, cs in _WHERE for c in cs)
 
 
 @query(_P3)
@@ -68,7 +70,36 @@ for _kind in N.FIELDS:
     query()(_typed(_kind))
 
 
-@query()
+#: Of each kind the scalar fields of its flat table: name, place in from_json's struct, JSON path, SQL type.
+_SCALARS = {
+    "step": (("step", "step", "$.step", "int"), ("type", "type", "$.type", "varchar"), ("subtype", "subtype", "$.subtype", "varchar"), ("intermediate_smiles", "intermediate_smiles", "$.intermediate_smiles", "varchar"), ("rationale", "rationale", "$.rationale", "varchar"), ("charge_before", "checks.charge.before", "$.checks.charge.before", "int"), ("charge_after", "checks.charge.after", "$.checks.charge.after", "int")),
+    "arrow": (("from_atom", "from.atom", "$.from.atom", "int"), ("from_kind", "from.kind", "$.from.kind", "varchar"), ("to_atom", "to.atom", "$.to.atom", "int"), ("bond_first", "to.bond[0]", "$.to.bond[0]", "int"), ("electrons", "electrons", "$.electrons", "int")),
+    "species": (("smiles", "smiles", "$.smiles", "varchar"), ("role", "role", "$.role", "varchar")),
+    "evidence": (("evidence_kind", "kind", "$.kind", "varchar"), ("ref_table", "ref.table", "$.ref.table", "varchar"), ("ref_row", "ref.row", "$.ref.row", "int")),
+    "gate": (("status", "status", "$.status", "varchar"),),
+    "input": (("source", "source", "$.source", "varchar"), ("n_rows", "rows", "$.rows", "bigint"), ("license", "license.label", "$.license.label", "varchar"), ("tier", "license.tier", "$.license.tier", "varchar")),
+    "check": (("name", "name", "$.name", "varchar"), ("value", "value", "$.value", "double")),
+    "failure": (("reaction_id", "reaction_id", "$.reaction_id", "varchar"), ("code", "reason.code", "$.reason.code", "varchar"), ("step", "reason.detail.step", "$.reason.detail.step", "int")),
+}
+
+
+def _flat(kind: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return _typed(kind)(spark, d).select("parent_key", "pos_path", "parent_path", *(F.expr(at).alias(name) for name, at, _, _ in _SCALARS[kind]))
+
+    run.__name__ = f"p3_{kind}_flat"
+    return run
+
+
+for _kind, _fields in _SCALARS.items():
+    _parent = "regexp_replace(pos_path, '[.][0-9]+$', '')" if _kind in N.PARENT else "null::varchar"
+    query(_OBJECTS + f"select parent_key, pos_path, {_parent} as parent_path, " + ", ".join(f"json_extract_string(e, '{path}')::{kind} as {name}" for name, _, path, kind in _fields) + f" from {'chk' if _kind == 'check' else _kind}")(_flat(_kind))
+
+
+_DEPTH = "case kind when 'step' then 0 when 'gate' then 0 when 'evidence' then 2 when 'failure' then 2 else 1 end"
+
+
+@query(f"select parent_table, kind, count(*) as objects, count(distinct parent_key) as documents, max({_DEPTH})::int as deepest from ({_P3}) group by 1, 2")
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     """Objects, documents and deepest level per kind."""
     return _nodes(spark, d, False).groupBy("parent_table", "kind").agg(F.count("*").alias("objects"), F.countDistinct("parent_key").alias("documents"), F.max("depth").alias("deepest"))

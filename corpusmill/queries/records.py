@@ -109,13 +109,13 @@ def under_covered(spark, d):
     return O.under_covered(steps(spark, d).groupBy("subtype").agg(F.count("*").alias("n")), allowed)
 
 
-@query(
-    r"""with p as (select record_no, unnest([case when coalesce(source, '') = '' then 'missing_source' end, case when coalesce(name, '') = '' then 'missing_name' end,
+SQL_PROBLEMS = r"""with p as (select record_no, unnest([case when coalesce(source, '') = '' then 'missing_source' end, case when coalesce(name, '') = '' then 'missing_name' end,
   case when reactants_smiles is null or len(reactants_smiles) = 0 then 'missing_reactants' end,
   case when provenance is not null and provenance not in ('curated', 'template_expanded', 'inferred') then 'bad_provenance' end,
-  case when level is not null and level not in ('easy', 'medium', 'hard') then 'bad_level' end]) as problem from mechanism_records)
-select record_no, problem from p where problem is not null"""
-)
+  case when level is not null and level not in ('easy', 'medium', 'hard') then 'bad_level' end]) as problem from mechanism_records)"""
+
+
+@query(SQL_PROBLEMS + " select record_no, problem from p where problem is not null")
 def structural_problems(spark, d):
     r = records(spark, d)
     some = F.when(F.size("reactants_smiles") > 0, "given")

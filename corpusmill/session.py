@@ -53,12 +53,18 @@ def staged(df: DataFrame, name: str, observed: Observation | None = None, *metri
     real sizes. The files go when the session's Python process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     (df.observe(observed, *metrics) if observed else df).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh place in the shared folder for files in other formats; it goes with the session."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if not _OWN_STAGES:
         atexit.register(_drop_stages)
     _OWN_STAGES.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def drop_stage(df: DataFrame) -> None:

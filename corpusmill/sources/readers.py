@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.operators.normalize import first_paragraph, reaction_parts
+from pyspark.sql.window import Window
+
+from corpusmill.operators.aggregates import first_rows
+from corpusmill.operators.normalize import first_paragraph, reaction_parts, strip_cx
 
 
 def template_base(record_id: Column) -> Column:
@@ -15,34 +18,45 @@ def template_base(record_id: Column) -> Column:
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, limit: int | None = None) -> DataFrame:
-    """One JSON object a line; blank lines are skipped, unreadable ones dropped. Adds file."""
-    lines = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "")
-    rows = lines.select(F.from_json("value", schema).alias("r"), "file").filter("r is not null")
-    out = rows.select("r.*", "file")
-    return out if limit is None else out.limit(limit)
+    """One JSON object a line; blank lines are skipped, unreadable ones dropped. Adds file and line_no,
+    which counts every line of the file from 1. A limit takes the first rows by file and line.
+
+    Lines are numbered by task: the tasks' line counts per file are added up, so files stay splittable.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    per = lines.groupBy("file", "_block").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    start = per.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    rows = lines.join(start, ["file", "_block"]).withColumn("line_no", F.col("_before") + F.col("_id") - F.col("_first") + 1).filter(F.trim("value") != "")
+    out = rows.select(F.from_json("value", schema).alias("r"), "file", "line_no").filter("r is not null").select("r.*", "file", "line_no")
+    return out if limit is None else first_rows(out, ["file", "line_no"], limit)
 
 
 def json_array(spark: SparkSession, path: str, schema: str, limit: int | None = None) -> DataFrame:
-    """A file that is one JSON array."""
+    """A file that is one JSON array; a limit takes its first elements. Such a file is one task's work."""
     out = spark.read.schema(schema).option("multiLine", True).json(path)
-    return out if limit is None else out.limit(limit)
+    if limit is None:
+        return out
+    numbered = out.withColumn("_id", F.monotonically_increasing_id())
+    return first_rows(numbered, ["_id"], limit).drop("_id")
 
 
-def reaction_tsv(spark: SparkSession, path: str, column: str, limit: int | None = 20_000) -> DataFrame:
+def reaction_tsv(spark: SparkSession, path: str, column: str, limit: int | None = None) -> DataFrame:
     """Tab-separated rows with a header; short rows and those without both sides are dropped, then
-    the limit is taken of what is kept (null: no limit). Adds reactants, agents and products."""
+    a limit takes the first of what is kept, by file and place. Adds reactants, agents and products."""
     rows = spark.read.option("sep", "\t").option("header", True).option("mode", "DROPMALFORMED").option("quote", "").csv(path)
-    bare = F.regexp_replace(F.col(column), r"\s+\|.*$", "")
-    kept = rows.withColumn("_p", reaction_parts(bare)).filter("_p is not null").select("*", "_p.*").drop("_p")
-    return kept if limit is None else kept.limit(limit)
+    kept = rows.withColumn("_p", reaction_parts(strip_cx(F.col(column)))).filter("_p is not null")
+    if limit is not None:
+        kept = first_rows(kept.withColumns({"_file": F.input_file_name(), "_id": F.monotonically_increasing_id()}), ["_file", "_id"], limit).drop("_file", "_id")
+    return kept.select("*", "_p.*").drop("_p")
 
 
-def elementary_csv(spark: SparkSession, path: str, aliases: dict[str, list[str]], keep: Column | None = None) -> DataFrame:
+def elementary_csv(spark: SparkSession, path: str, aliases: dict[str, list[str]], keep: Column | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header whose columns go by several names: each field is the first non-empty of its
-    candidates. Unreadable reactions are dropped."""
+    candidates. Unreadable reactions are dropped. multi_line reads fields with line breaks, but then a
+    file can't be split among tasks."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"{path} isn't there; this licensed source has to be put in place by hand")
-    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    rows = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     have = {c.strip().lower(): c for c in rows.columns}
 
     def pick(names: list[str]) -> Column:
@@ -106,8 +120,6 @@ def summaries(pages: DataFrame, title: str, text: str, limit: int = 1200) -> Dat
 
 def last_predictions(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
     """Rows of an append-only JSON-lines file; malformed ones are skipped, the last of a key wins."""
-    from pyspark.sql.window import Window
-
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_n"))
     rows = lines.select(F.from_json("value", schema).alias("r"), "_f", "_b", "_n").filter("r is not null").select("r.*", "_f", "_b", "_n").filter(F.col(key).isNotNull())
     w = Window.partitionBy(key).orderBy(F.desc("_f"), F.desc("_b"), F.desc("_n"))

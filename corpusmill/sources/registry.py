@@ -132,8 +132,9 @@ class Fetcher:
 class PagedArticles(DataSource):
     """Articles of a category, listed page by page with a continue token and then read one by one.
 
-    Options: listing (URL with {category} and {token}), article (URL with {title}), category, cache.
-    A file: URL works as well, so a saved site can be read offline.
+    Options: listing (URL with {category} and {token}), article (URL with {title}), category, cache (a
+    folder that all executors share; needed for other than file: URLs), and per_task, how many titles
+    a task reads. The listing comes to the driver, titles only. A file: URL works as well, so a saved site can be read offline.
     """
 
     @classmethod
@@ -154,7 +155,9 @@ class _PagedReader(DataSourceReader):
     def _fetch(self, url: str):
         if url.startswith("file:"):
             return json.loads(Path(urllib.parse.unquote(urllib.parse.urlsplit(url).path)).read_text())
-        return json.loads(Fetcher(self.options.get("cache", "http-cache")).get(url))
+        if "cache" not in self.options:
+            raise ValueError("give a cache folder that all executors share")
+        return json.loads(Fetcher(self.options["cache"]).get(url))
 
     def partitions(self):
         titles, token = [], ""
@@ -163,12 +166,14 @@ class _PagedReader(DataSourceReader):
             titles += page.get("titles", [])
             token = page.get("continue") or ""
             if not token:
-                return [InputPartition(t) for t in titles] or [InputPartition(None)]
+                n = max(1, int(self.options.get("per_task", 50)))
+                return [InputPartition(tuple(titles[i : i + n])) for i in range(0, len(titles), n)] or [InputPartition(())]
 
     def read(self, partition):
-        title = partition.value
-        if title is None:
-            return
+        for title in partition.value:
+            yield from self._article(title)
+
+    def _article(self, title):
         got, seen = self._fetch(self.options["article"].format(title=urllib.parse.quote(title))), {title}
         while got.get("redirect") and got["redirect"] not in seen:
             seen.add(got["redirect"])

@@ -105,13 +105,13 @@ def test_pipeline_compares_reaction_fingerprints(spark):
     ]
 
     def frame(data):
-        made = [(k, "s", "CC0", "curated", "easy", k, r, p, None, [("step", "x", f"{'C' * (i + 2)}O")]) for i, (k, r, p) in enumerate(data)]
+        made = [(k, "s", "CC0", "curated", "easy", k, r, p, None, [(1, "step", "x", f"{'C' * (i + 2)}O", None)]) for i, (k, r, p) in enumerate(data)]
         return PL.normalize_phase(PL.Run(), spark.createDataFrame(made, PL.RECORD))
 
     run = PL.Run()
     # another step than any of the records'
     bench = frame(gold).withColumn("steps", F.transform("steps", lambda s: s.withField("smiles", F.lit("N"))))
-    kept = PL.decontaminate_phase(run, frame(rows), bench)
+    kept = PL.decontaminate_phase(run, frame(rows), frame([("t1", ["CCCCCCCCC"], ["CCCCCCCCCC"])]), bench)
     assert {r["record_id"] for r in kept.collect()} == {"b", "c", "d"} and run.gates["decontaminate"]["removed"] == 1
     out = PL.dedup_phase(run, kept)
     assert {r["record_id"] for r in out.collect()} == {"b", "d"} and not {"fp", "bucket"} & set(out.columns)

@@ -81,10 +81,9 @@ def test_continuity_of_large_changes(spark):
 
 
 def test_expansion(spark):
-    assert X.substitute("C([*:1])=O", {1: "CC"}) == "C(CC)=O" and X.substitute("[*:1]C(=O)[*:2]", {1: "c1ccccc1"}) is not None
-    assert X.substitute("C([*:1])=O", {}) == "C=O" and X.substitute("[*:1]", {1: "C"}) is None
+    assert X.substitute("C([*:1])=O", {1: "CC"}) == X.substitute("O=CCC", {}) and X.substitute("[*:1]", {1: "C"}) is None and X.substitute("C(C)(C)(C)(C)C", {}) is None
     assert len(X.combinations([1, 2, 3])) == 36 and X.combinations([1, 2, 3])[0] == {1: "[H]", 2: "[H]", 3: "C"}
-    t = spark.createDataFrame([("t", ["C([*:1])=O"], ["OC[*:1]"], ["[O-]C[*:1]"]), ("n", ["C"], ["C"], [])], "id string, r array<string>, p array<string>, s array<string>")
+    t = spark.createDataFrame([("t", ["C([*:1])=O"], ["OC[*:1]"], ["[O-]C[*:1]"]), ("n", ["C"], ["C"], []), ("bad", ["C[*:1]", "C("], ["C"], [])], "id string, r array<string>, p array<string>, s array<string>")
     got = X.expanded(t, "id", "r", "p", "s", 40)
     rows = got.collect()
     assert len(rows) == 6 and all("*" not in "".join(r["reactants"] + r["products"] + r["step_forms"]) for r in rows) and rows[0]["instance_id"] == "t__x0"
@@ -189,3 +188,56 @@ def test_skeletons(spark):
     rows = spark.createDataFrame([(1, ["[O-]C(=O)C", "CN"]), (2, ["CC(=O)O", "NC"]), (3, ["[O-]c1ccccc1"]), (4, None), (5, ["?"])], "id int, r array<string>")
     got = {r["id"]: r["r_skeletons"] for r in FT.skeleton_keys(rows, "id", ["r"]).collect()}
     assert got[1] == got[2] != got[3] and got[4] is None and not got[5]
+
+
+def test_atom_mapping(spark):
+    from corpusmill.operators import atommap as M
+
+    steps = "array<struct<smiles:string>>"
+    rows = [(1, ["C", "O"], ["CO"], None, [("CO",), ("C[OH2+]",)]), (2, ["C"], ["[*:1]C"], "kept", []), (3, ["N"], ["CN"], "old", [("C(",), ("CN",)]), (4, None, ["C"], None, None), (5, ["S"], ["CS"], None, None)]
+    r = spark.createDataFrame(rows, f"id int, reactants array<string>, products array<string>, reaction_smiles_mapped string, steps {steps}")
+
+    def mapper(texts):
+        if any(t.startswith("S") for t in texts):
+            raise ValueError
+        return [(t + "!", 0.2 if t.startswith("N") else 0.91234) for t in texts]
+
+    got = {x["id"]: x[1:] for x in M.map_records(r, "id", mapper).collect()}
+    assert got[1] == ("C.O>>CO!", 0.9123, None, False, None) and got[3] == ("N>>CN!", 0.2, None, True, "old")
+    assert got[2] == ("kept", None, "kept_premapped(invalid_or_rgroup)", False, None) and got[4] == (None, None, "invalid_or_rgroup", False, None)
+    assert got[5] == (None, None, "map_error:ValueError", False, None)
+    none = {x["id"]: x["map_reason"] for x in M.map_records(r, "id").collect()}
+    assert none[1] == "mapper_unavailable" and none[2] == "kept_premapped(invalid_or_rgroup)"
+    s = M.map_steps(r, "id", "steps", "smiles", mapper)
+    by = {(x["id"], x["pos"]): (x["mapped"], x["map_reason"]) for x in s.collect()}
+    assert by == {(1, 0): ("C.O>>CO!", None), (1, 1): ("CO>>C[OH2+]!", None), (3, 0): (None, "invalid_or_rgroup"), (3, 1): (None, "invalid_or_rgroup")}
+    assert {x["id"]: x["least"] for x in M.least_confidence(s, "id").collect()} == {1: 0.9123, 3: None}
+    rep = M.confidence_report(M.map_records(r, "id", mapper)).first()
+    assert (rep["n"], rep["mean"], rep["histogram"]) == (2, 0.5562, [0, 1, 0, 0, 1]) and M.confidence_report(M.map_records(r, "id")).first()["mean"] is None
+    assert M.mapping_sample(r, ["id"], 2).count() == 2 and M.mapping_sample(r, ["id"], 0).count() == 5
+
+
+def test_both_parsers_read_alike(spark):
+    from corpusmill.operators import scoring as C
+
+    one_ = '[{"step": 1, "type": "t", "subtype": "s", "intermediate_smiles": "C"}]'
+    texts = [f"x [ANSWER]\n{one_}\n[/ANSWER] y", f"[answer]{one_}", one_, f"```json\n{one_}\n```", f'{{"mechanism": {one_}}}', f'[ANSWER]{{"mechanism": {one_}}}[/ANSWER]', f"Here: {one_} is it", "no list", "[ANSWER][/ANSWER]", "[]", "[1, 2", None, "", '{"a": 1}', f"[ANSWER]```\n{one_}\n```[/ANSWER]", f"[ANSWER]none[/ANSWER] {one_}"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", C.parsed_steps(F.col("t")).alias("p")).collect()
+    for r in got:
+        want = C.parse_steps(texts[r["i"]])
+        assert (r["p"] is None) == (want is None) and len(r["p"] or []) == len(want or []), texts[r["i"]]
+        assert not want or r["p"][0]["subtype"] == want[0]["subtype"]
+
+
+def test_rewards_by_name(spark):
+    from corpusmill.operators import reward as R
+
+    rows = spark.createDataFrame([(True, 2, 1.0, 1.0, 0.5), (True, 2, 0.4, 0.0, 1.0), (False, 0, 0.0, 0.0, None), (True, 0, 0.0, 0.0, None), (True, 1, 0.5, 1.0, None)], "parsed boolean, n int, s double, v double, rt double")
+    c = lambda kind: [tuple(round(x, 6) for x in r) for r in rows.select(*(v.alias(k) for k, v in R.composed(kind, F.col("parsed"), F.col("n"), F.col("s"), F.col("v"), F.col("rt")).items())).collect()]
+    assert c("omes") == [(1.15, 1.0, 1.0), (-0.5, 0.0, 1.0), (-0.5, 0.0, 0.0), (-0.5, 0.0, 0.0), (0.65, 1.0, 1.0)]
+    assert c("omes+roundtrip") == [(1.2, 1.0, 1.0, 0.5), (-0.5, 0.0, 1.0, 1.0), (-0.5, 0.0, 0.0, 0.0), (-0.5, 0.0, 0.0, 0.0), (0.65, 1.0, 1.0, 0.0)]
+    try:
+        R.composed("other", *[F.lit(1)] * 4)
+    except ValueError:
+        return
+    raise AssertionError

@@ -73,3 +73,14 @@ def test_shared_fraction():
     assert S.shared_fraction("CCN(CC)CC", "CCNCC", 0.5) >= 0.5
     assert S.shared_fraction("CC(C)CCCOCCC(O)C", "CCCCCCCCC(O)O", 1.0, 50) is None
     assert S.continuous("CCCCCC.BrC(Br)(Br)Br", "CCCCCCO.BrC(Br)(Br)Br", 0.9) == 1.0
+
+
+def test_substitution_on_the_graph():
+    put = S.substituted
+    assert put("C([*:1])=O", {1: "CC"}) == S.canonical("CCC=O") and put("[*:1]C(=O)[*:2]", {1: "c1ccccc1", 2: "OC"}) == S.canonical("COC(=O)c1ccccc1")
+    assert put("C1CC([*:1])C%12CC1C%12", {1: "C1CC1"}) == S.canonical("C1CC(C2CC2)C3CC1C3") and put("c1ccc([*:1])cc1", {1: "c1ccccc1"}) == S.canonical("c1ccc(-c2ccccc2)cc1")
+    assert put("C[N-][*:1]", {1: "C"}) == S.canonical("C[N-]C") and put("[13CH2]([*:1])C", {1: "Cl"}) == S.canonical("[13CH2](Cl)C")
+    assert put("C([*:1])=O", {}) == put("C([*:1])=O", {1: "[H]"}) == S.canonical("C=O") and put("C[NH][*:1]", {}) == S.canonical("CN")
+    assert put("[*:1]", {1: "C"}) is None and put("C[*:1]C", {1: "C"}) is None and put("C(=O)(=O)[*:1]", {1: "C"}) is None and put("C(", {}) is None
+    twice = S.canonical("c1ccc(-c2ccccc2)cc1")
+    assert S.canonical(twice) == twice == S.canonical("c1ccc(c2ccccc2)cc1")
