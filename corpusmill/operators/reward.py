@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusmill.session import staged
+
 #: Weights of similarity, validity, format and round trip, and the reward of failures.
 W_SIMILAR, W_VALID, W_FORMAT, W_ROUND_TRIP, FAILED = 1.0, 0.10, 0.05, 0.10, -0.5
 #: Levels from easy to hard; unknown ones come last.
@@ -81,14 +83,34 @@ def level_histogram(rows: DataFrame, level: str) -> DataFrame:
     return rows.groupBy(F.coalesce(F.when(F.col(level) != "", F.col(level)), F.lit("unknown")).alias("level")).agg(F.count("*").alias("n"))
 
 
-def rolling(log: DataFrame, order: list[str], cols: list[str], by: list[str] | None = None, window: int = 256) -> DataFrame:
-    """Adds mean_<col> over the last observations and their number; by splits into series. Give by
-    on large logs: a single series is one task's work."""
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(*order).rowsBetween(1 - window, 0)
-    out = log.withColumn("observed", F.count("*").over(w))
+def rolling(log: DataFrame, order: list[str], cols: list[str], by: list[str] | None = None, window: int = 256, parts: int | None = None) -> DataFrame:
+    """Adds mean_<col> over the last observations of a series and their number; by splits into series.
+    order tells rows of a series apart.
+
+    The log is cut into ranges of by and order, each the work of one task however long a series is;
+    the last rows of a range go along to the ranges behind it that still see them.
+    """
+    by = by or []
+    parts = parts or max(1, int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # the ranges are sampled, so they are fixed by being written
+    ranged = staged(log.repartitionByRange(parts, *by, *order).withColumn("_p", F.spark_partition_id()), "rolling")
+    series = Window.partitionBy(*by)
+    sizes = ranged.groupBy(*by, "_p").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(series.orderBy("_p")))
+    # ranges behind, with the rows of the series in between: each holds a row, so window of them suffice
+    behind = F.collect_list(F.struct(F.col("_p").alias("p"), (F.col("_upto") - F.col("_n")).alias("start"))).over(series.orderBy("_p").rowsBetween(1, window))
+    reach = sizes.withColumn("_behind", F.filter(behind, lambda x: x["start"] - F.col("_upto") < window - 1)).filter(F.size("_behind") > 0)
+    last = ranged.withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_p").orderBy(*(F.col(c).desc() for c in order)))).filter(F.col("_r") < window)
+    same = F.col("_p") == F.col("_q")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    seen = last.join(reach.select(F.col("_p").alias("_q"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(by)), "_upto", "_behind"), same)
+    carried = seen.select(*log.columns, "_r", "_upto", F.explode("_behind").alias("_b")).filter(F.col("_r") + F.col("_b.start") - F.col("_upto") < window).select(*log.columns, F.col("_b.p").alias("_p"), F.lit(False).alias("_own"))
+    every = ranged.withColumn("_own", F.lit(True)).unionByName(carried)
+    w = Window.partitionBy(*by, "_p").orderBy(*order).rowsBetween(1 - window, 0)
+    out = every.withColumn("observed", F.count("*").over(w))
     for c in cols:
         out = out.withColumn(f"mean_{c}", F.avg(c).over(w))
-    return out
+    return out.filter("_own").drop("_own", "_p")
 
 
 def validity_alarm(rolled: DataFrame, mean: str, floor: float = 0.8, window: int = 256) -> DataFrame:

@@ -282,6 +282,6 @@ def chained_pairs(spark, d):
 
 @query()
 def drawing_variants(spark, d):
-    """Other drawings of the train split's products, for augmentation; targets stay as they are."""
-    p = records(spark, d).filter("split = 'train' and size(products_smiles) = 1").select("record_no", F.trim(F.col("products_smiles")[0]).alias("m"))
-    return X.randomized(p, "record_no", "m", 2)
+    """Other drawings of all products of the train split, for augmentation; targets stay as they are."""
+    p = records(spark, d).filter("split = 'train'").select("record_no", F.posexplode("products_smiles").alias("pos", "m")).select(F.struct("record_no", "pos").alias("id"), F.trim("m").alias("m"))
+    return X.randomized(p, "id", "m", 2).select("id.*", "variant", "drawing")

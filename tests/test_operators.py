@@ -241,3 +241,16 @@ def test_rewards_by_name(spark):
     except ValueError:
         return
     raise AssertionError
+
+
+def test_rolling_over_ranges(spark):
+    """One series holds most rows and one range holds few: the same as a window over whole series."""
+    from corpusmill.operators import reward as R
+
+    log = spark.range(2000).selectExpr("id as event_id", "case when id % 10 < 8 then 'hot' when id % 10 = 8 then 'few' end as s", "hash(id) % 500 as ts", "cast(id % 7 as bigint) as v")
+    for window, parts in ((16, 40), (300, 40), (5, 1)):
+        w = R.Window.partitionBy("s").orderBy("ts", "event_id").rowsBetween(1 - window, 0)
+        want = {r[0]: (r[1], r[2]) for r in log.select("event_id", F.count("*").over(w), F.avg("v").over(w)).collect()}
+        got = {r["event_id"]: (r["observed"], r["mean_v"]) for r in R.rolling(log, ["ts", "event_id"], ["v"], ["s"], window, parts).collect()}
+        assert got == want
+    assert R.rolling(log, ["ts", "event_id"], ["v"], None, 4, 7).count() == 2000 and R.rolling(log.limit(0), ["ts"], ["v"]).count() == 0
