@@ -9,7 +9,6 @@ these purposes, not bit-identical to one.
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -246,14 +245,26 @@ def _label_code(label: str, degree: int) -> int:
     return _h(label, degree) >> 2
 
 
+_MASK, _M1, _M2 = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+
+
 def _ranks(mol: Mol, adj) -> list[int]:
-    """Morgan-style refinement: equal numbers for atoms alike in their whole surroundings."""
+    """Morgan-style refinement: equal numbers for atoms alike in their whole surroundings. The mixing
+    of 64-bit numbers is fixed, so they are the same everywhere."""
     code = [_label_code(_atom_label(a, len(adj[i])), len(adj[i])) for i, a in enumerate(mol.atoms)]
     kinds = len(set(code))
     ring = [a.aromatic for a in mol.atoms]
-    near = [[(5 if not o and ring[i] and ring[j] else _ORDER[o], j) for j, o, _ in adj[i]] for i in range(len(code))]
+    near = [[(j, (5 if not o and ring[i] and ring[j] else _ORDER[o]) * _M1) for j, o, _ in adj[i]] for i in range(len(code))]
     while True:
-        code = [xxhash.xxh3_64_intdigest(array("Q", [code[i], *(x for pair in sorted((o, code[j]) for o, j in near[i]) for x in pair)]).tobytes()) for i in range(len(code))]
+        new = []
+        for own, others in zip(code, near):
+            own *= _M1
+            for j, bond in others:
+                x = (code[j] + bond) * _M2 & _MASK
+                own += x ^ (x >> 31)
+            own &= _MASK
+            new.append(own ^ (own >> 29))
+        code = new
         if len(set(code)) <= kinds:
             return code
         kinds = len(set(code))

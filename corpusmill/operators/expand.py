@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,10 +25,15 @@ def substitute(smiles: str, fragments: dict[int, str]) -> str | None:
     fragment and the fragment [H] become hydrogen. A structure without points comes out canonical.
     None if the result isn't valid."""
     if _POINT.search(smiles):
-        return S.substituted(smiles.strip(), fragments)
+        return _substituted(smiles.strip(), tuple(sorted(fragments.items())))
     return S.canonical(smiles) if S.valid(smiles) else None
 
 
+@lru_cache(maxsize=50_000)
+def _substituted(smiles: str, fragments: tuple[tuple[int, str], ...]) -> str | None:
+    return S.substituted(smiles, dict(fragments))
+
+
 def combinations(labels: list[int], fragments: tuple[str, ...] = FRAGMENTS, varied: int = VARIED, most: int = MOST) -> list[dict[int, str]]:
     """What each label gets, in the fragments' product order over the first labels."""
     free, fixed = labels[:varied], labels[varied:]

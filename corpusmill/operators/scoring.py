@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import smiles as S
+from corpusmill.operators.features import let
 from corpusmill.session import spread
 
 #: Similarities below TAU count nothing; a gap or mismatch costs GAP.
@@ -157,13 +158,13 @@ def parsed_steps(text: Column) -> Column:
     """JVM-side, by the rules of parse_steps() for text: the step list in answer tags (the closing one
     may lack) or the whole, without code fences; a list, an object's mechanism, or the widest [...];
     null if unreadable."""
-    tagged = F.regexp_extract(text, r"(?is)\[ANSWER\](.*?)(?:\[/ANSWER\]|\z)", 1)
-    body = F.trim(F.when(F.upper(text).contains("[ANSWER]"), tagged).otherwise(text), F.lit(" \n\r\t"))
-    body = F.regexp_replace(body, r"^\s*```[a-zA-Z]*\s*|\s*```\s*$", "")
-    wide = F.regexp_extract(body, r"(?s)(\[.*\])", 1)
     steps = "array<struct<step:int,type:string,subtype:string,intermediate_smiles:string>>"
     listed = lambda t: F.from_json(F.when(t.startswith("["), t), steps)
-    return F.coalesce(listed(body), F.from_json(F.when(body.startswith("{"), body), f"struct<mechanism:{steps}>")["mechanism"], listed(wide))
+    tagged = F.when(text.ilike("%[ANSWER]%"), F.regexp_extract(text, r"(?is)\[ANSWER\](.*?)(?:\[/ANSWER\]|\z)", 1)).otherwise(text)
+    bare = lambda t: F.when(t.contains("```"), F.regexp_replace(t, r"^\s*```[a-zA-Z]*\s*|\s*```\s*$", "")).otherwise(t)
+    wide = lambda t: let(F.regexp_extract(t, r"(?s)(\[.*\])", 1), listed)
+    read = lambda t: F.coalesce(listed(t), F.from_json(F.when(t.startswith("{"), t), f"struct<mechanism:{steps}>")["mechanism"], wide(t))
+    return let(let(F.trim(tagged, F.lit(" \n\r\t")), bare), read)
 
 
 def against_gold(gold: DataFrame, predictions: DataFrame, key: str) -> DataFrame:

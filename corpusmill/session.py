@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_STAGES: list[tuple[SparkSession, str]] = []
 
@@ -92,12 +93,11 @@ def _drop_stages() -> None:
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Rows over as many tasks as the session shuffles into, for work that is costly per row: AQE
-    would merge partitions that are small in bytes into one task."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+    would merge partitions that are small in bytes into one task. The rows go by a hash of the
+    columns, as a repartition by the very columns of a distinct before it would be optimized away."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *([F.xxhash64(*cols)] if cols else []))
 
 
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast df only if it is proven to have at most so many rows; else leave the join to AQE."""
-    from pyspark.sql import functions as F
-
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
