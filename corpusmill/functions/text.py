@@ -31,3 +31,9 @@ def collapsed(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(value), r"\s+", " "))
 
 
+
+
+def trigram_bits(text: str) -> list[int]:
+    """A text's runs of three characters as numbers: a bit set that stands in for a fingerprint, exact
+    in SQL. Empty for shorter texts."""
+    return sorted({(ord(a) * 256 + ord(b)) * 256 + ord(c) for a, b, c in zip(text, text[1:], text[2:])})

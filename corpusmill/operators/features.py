@@ -72,31 +72,36 @@ def _by_molecule(values: DataFrame, col: str, one, kind: pa.DataType, ddl: str,
     return spread(values.select(F.col(col).cast("string")).filter(F.col(col).isNotNull()).distinct(), col).mapInArrow(run, f"`{col}` string, `{out}` {ddl}")
 
 
-def reaction_bits(rows: DataFrame, key: str, reactants: str, products: str, out: str = "fp") -> DataFrame:
+def molecule_bits(text: str) -> list[int] | None:
+    """The kernel's fingerprint; None if the structure isn't valid."""
+    return S.fingerprint_bits(text) if S.valid(text) else None
+
+
+def reaction_bits(rows: DataFrame, key: str, reactants: str, products: str, out: str = "fp", bits_of=molecule_bits) -> DataFrame:
     """Adds the reaction fingerprint of unique keys: the bits of exactly one side, each side the
-    union of its molecules' bits; null if a side has nothing parseable."""
+    union of its molecules' bits; null if a side has nothing parseable. bits_of gives a molecule's."""
     side = lambda c, n: F.coalesce(F.transform(c, lambda m: F.struct(F.lit(n).alias("side"), m.alias("m"))), F.array())
     parts = rows.select(key, F.explode(F.concat(side(reactants, 0), side(products, 1))).alias("x")).select(key, "x.side", "x.m")
-    done = _by_molecule(parts, "m", lambda t: S.fingerprint_bits(t) if S.valid(t) else None, pa.list_(pa.int32()), "array<int>", "bits").filter("bits is not null")
+    done = _by_molecule(parts, "m", bits_of, pa.list_(pa.int32()), "array<int>", "bits").filter("bits is not null")
     of = lambda n: union_bits(F.collect_list(F.when(F.col("side") == n, F.col("bits"))))
     sides = parts.join(done, "m").groupBy(key).agg(of(0).alias("_r"), of(1).alias("_p")).filter((F.size("_r") > 0) & (F.size("_p") > 0))
     bits = sides.select(key, xor_bits(F.col("_r"), F.col("_p")).alias(out)).withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(F.array(F.lit(UNCHANGED))))
     return rows.join(bits, key, "left")
 
 
-def skeleton_keys(rows: DataFrame, key: str, sides: list[str]) -> DataFrame:
+def skeleton_keys(rows: DataFrame, key: str, sides: list[str], skeleton_of=connectivity) -> DataFrame:
     """Adds <side>_skeletons for list columns of unique keys: the connectivity of each structure that
-    can be read, sorted; each distinct structure once."""
+    can be read, sorted; each distinct structure once. skeleton_of gives a structure's."""
     each = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda m: F.struct(F.lit(c).alias("side"), m.alias("m")))
     parts = rows.select(key, F.explode(F.concat(*(each(c) for c in sides))).alias("x")).select(key, "x.side", "x.m")
-    done = _by_molecule(parts, "m", connectivity, pa.string(), "string", "_s").filter("_s is not null")
+    done = _by_molecule(parts, "m", skeleton_of, pa.string(), "string", "_s").filter("_s is not null")
     of = lambda c: F.array_sort(F.collect_list(F.when(F.col("side") == c, F.col("_s")))).alias(f"{c}_skeletons")
     return rows.join(parts.join(done, "m").groupBy(key).agg(*(of(c) for c in sides)), key, "left")
 
 
-def product_bucket(rows: DataFrame, key: str, products: str, out: str = "bucket") -> DataFrame:
+def product_bucket(rows: DataFrame, key: str, products: str, out: str = "bucket", skeleton_of=connectivity) -> DataFrame:
     """Adds the smallest of the products' skeletons, for unique keys; null without a parseable product."""
-    done = skeleton_keys(rows.select(key, products), key, [products]).select(key, F.get(f"{products}_skeletons", F.lit(0)).alias(out))
+    done = skeleton_keys(rows.select(key, products), key, [products], skeleton_of).select(key, F.get(f"{products}_skeletons", F.lit(0)).alias(out))
     return rows.join(done, key, "left")
 
 

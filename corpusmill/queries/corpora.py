@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import collapsed
+from corpusmill.functions.text import collapsed, trigram_bits
 from corpusmill.operators import decontaminate as D
 from corpusmill.operators import dedup as U
 from corpusmill.operators import features as FT
@@ -13,7 +13,7 @@ from corpusmill.operators import splits as P
 from corpusmill.operators.components import hash_to_min, star_edges
 from corpusmill.queries import query
 from corpusmill.queries.common import COLLAPSED, FULL, STEPS, full_rows, records
-from corpusmill.queries.records import SIGS, SKELETONS, signatures, skeletons
+from corpusmill.queries.records import BARE_TEXT, SIGS, SKELETONS, signatures, skeletons
 from corpusmill.session import staged, table
 
 
@@ -90,6 +90,52 @@ def decon_fp_report(spark, d):
     return D.report(_judged_by_all(spark, d))
 
 
+_TRIGRAMS = "list_distinct(flatten(list_transform(list_filter(list_transform({0}, lambda x: trim(x)), lambda x: x is not null), lambda x: list_transform(range(greatest(0, length(x) - 2)), lambda i: (unicode(x[i + 1]) * 256 + unicode(x[i + 2])) * 256 + unicode(x[i + 3])))))"
+#: Reaction fingerprints over the texts' runs of three characters, which SQL can follow exactly.
+_TEXT_FPS = f"""sides_ as (select record_no, {_TRIGRAMS.format("reactants_smiles")} as r, {_TRIGRAMS.format("products_smiles")} as p from mechanism_records),
+xors as (select record_no, list_concat(list_filter(r, lambda b: not list_contains(p, b)), list_filter(p, lambda b: not list_contains(r, b))) as x from sides_ where len(r) > 0 and len(p) > 0),
+fps as (select record_no, case when len(x) > 0 then list_sort(x) else [-1] end as fp from xors)"""
+
+
+def _text_fingerprinted(spark, d):
+    trim = lambda c: F.transform(c, lambda x: F.trim(x)).alias(c)
+    sides = records(spark, d).select("record_no", trim("reactants_smiles"), trim("products_smiles"))
+    return FT.reaction_bits(sides, "record_no", "reactants_smiles", "products_smiles", bits_of=trigram_bits)
+
+
+@query(f"with {_TEXT_FPS} select record_no, len(fp)::int as n_bits, fp[1]::int as first, fp[len(fp)]::int as last, list_sum(fp)::bigint as total from fps")
+def reaction_fingerprint(spark, d):
+    """The bits of exactly one side of each reaction, with runs of characters as the molecules' bits."""
+    f = _text_fingerprinted(spark, d).filter("fp is not null").select("record_no", F.array_sort("fp").alias("fp"))
+    return f.select("record_no", F.size("fp").alias("n_bits"), F.col("fp")[0].alias("first"), F.element_at("fp", -1).alias("last"), F.aggregate("fp", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
+
+
+def _judged_by_text(spark, d):
+    f = staged(_featured(spark, d).join(_text_fingerprinted(spark, d).select("record_no", "fp"), "record_no"), "text-fingerprinted")
+    return D.reasons(f.filter("split = 'train'"), _held_out(f), "record_no", "19/20", "fp")
+
+
+@query(
+    _REASONS
+    + f""", {_TEXT_FPS}, near as (select distinct c.record_no from judged c join fps a on c.record_no = a.record_no, bench b join fps q on b.record_no = q.record_no
+where c.reason is null and len(a.fp) * 20 >= len(q.fp) * 19 and len(q.fp) * 20 >= len(a.fp) * 19 and len(list_intersect(a.fp, q.fp)) * 20 >= (len(a.fp) + len(q.fp) - len(list_intersect(a.fp, q.fp))) * 19)
+select record_no, coalesce(reason, 'reaction_fp_tanimoto>=0.95') as reason from judged where reason is not null or record_no in (select record_no from near)"""
+)
+def decon_bits_reasons(spark, d):
+    """All four stages in their order, with runs of characters as the molecules' bits."""
+    return D.split_clean(_judged_by_text(spark, d))[1].select("record_no", "reason")
+
+
+@query(f"with b as (select record_no, list_min(list_filter(list_transform(products_smiles, lambda x: {BARE_TEXT}), lambda x: x is not null)) as bucket from mechanism_records) select record_no, bucket from b where bucket is not null")
+def product_buckets(spark, d):
+    """The smallest of each record's products without charges, hydrogens, maps and stereo, as written."""
+    import re
+
+    bare, stereo = re.compile(FT.BARE_ATOM), re.compile(FT.STEREO_SIGN)
+    p = records(spark, d).select("record_no", F.transform("products_smiles", lambda x: F.trim(x)).alias("p"))
+    return FT.product_bucket(p, "record_no", "p", skeleton_of=lambda t: stereo.sub("", bare.sub(r"\1", t))).filter("bucket is not null").select("record_no", "bucket")
+
+
 _SHINGLES = r"""words as (select {key} as key, {by} as part, list_filter(regexp_split_to_array(lower(coalesce({text}, '')), '\s+'), lambda w: w <> '') as w from {table}),
 raw as (select key, part, case when len(w) >= 5 then list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) else [array_to_string(w, ' ')] end as x from words where len(w) > 0),
 sets as (select min(key) as key, any_value(x) as x from raw group by part, list_sort(x))"""

@@ -66,10 +66,11 @@ _NAMED = "list_filter({0}, lambda x: x is not null and x <> '')"
 _PICKED = "array_to_string({0}, ' ')"
 
 
-@query(
-    f"""with p as (select record_no, {_NAMED.format("reactants_smiles")} as r, {_NAMED.format("products_smiles")} as q, coalesce({_NAMED.format("raw_ref.agents")}, []) as a, mechanism_step_nums as t from mechanism_records)
+_DEPOSITS = f"""with p as (select record_no, {_NAMED.format("reactants_smiles")} as r, {_NAMED.format("products_smiles")} as q, coalesce({_NAMED.format("raw_ref.agents")}, []) as a, mechanism_step_nums as t from mechanism_records)
 select record_no, {_PICKED.format("r")} as reactants, {_PICKED.format("q")} as products, concat_ws('; ', case when t is not null then 'T=' || t::varchar || '.0' end, case when len(a) > 0 then 'reagents:' || array_to_string(a[1:6], '.') end) as conditions from p where len(r) > 0 and len(q) > 0"""
-)
+
+
+@query(_DEPOSITS)
 def deposit_scan(spark, d):
     """Records as deposits in sharded folders: inputs with roles and several identifiers, outcomes,
     a temperature; read back and projected."""
@@ -84,6 +85,30 @@ def deposit_scan(spark, d):
     return got.select(F.col("identifier").cast("bigint").alias("record_no"), F.array_join("reactants", " ").alias("reactants"), F.array_join("products", " ").alias("products"), "conditions")
 
 
+@query(_DEPOSITS)
+def deposit_blob_scan(spark, d):
+    """Records as encoded deposits in sharded folders, with some blobs that can't be decoded."""
+    import pyarrow as pa
+
+    from corpusmill.sources import wire
+
+    def encode(batches):
+        named = lambda x: [{"kind": 6, "value": "n"}, {"kind": 2, "value": x}]
+        for b in batches:
+            blobs = []
+            for n, rs, ags, ps, t in zip(*(c.to_pylist() for c in b.columns)):
+                parts = [{"identifiers": named(x or ""), "role": role} for role, xs in ((1, rs), (2, ags)) for x in xs or []]
+                m = {"identifier": str(n), "inputs": [{"key": "all", "value": {"components": parts}}], "outcomes": [{"products": [{"identifiers": named(x or "")} for x in ps or []]}]}
+                blobs.append(wire.encode(m if t is None else m | {"conditions": {"temperature": {"setpoint": {"value": float(t)}}}}, wire.REACTION))
+            yield pa.RecordBatch.from_arrays([pa.array([*blobs, b"\xff", None], pa.binary())], names=["data"])
+
+    path = scratch(spark, "deposit-blobs")
+    rows = records(spark, d).select("record_no", "reactants_smiles", "raw_ref.agents", "products_smiles", "mechanism_step_nums").mapInArrow(encode, "data binary")
+    rows.withColumn("shard", F.pmod(F.xxhash64("data"), F.lit(8))).write.partitionBy("shard").parquet(path)
+    got = R.deposit_records(R.deposits(spark, path))
+    return got.select(F.col("identifier").cast("bigint").alias("record_no"), F.array_join("reactants", " ").alias("reactants"), F.array_join("products", " ").alias("products"), "conditions")
+
+
 _PARTS = r"""f as (select record_no, string_split(regexp_extract(trim(reaction_smiles_mapped), '^(\S*)', 1), '>') as p from mechanism_records where reaction_smiles_mapped is not null),
 s as (select record_no, len(p) as n, list_filter(string_split(p[1], '.'), lambda x: x <> '') as r, list_filter(string_split(p[3], '.'), lambda x: x <> '') as q from f),
 split_ as (select record_no, array_to_string(r, ' ') as reactants, array_to_string(q, ' ') as products from s where n = 3 and len(r) > 0 and len(q) > 0)"""

@@ -204,8 +204,8 @@ def set_signature(spark, d):
     return signatures(spark, d).select("record_no", "sig")
 
 
-_BARE = r"regexp_replace(regexp_replace(trim(x), '\[\d*(Br|Cl|[BCNOPSFI]|[bcnops])@{0,2}(?:H\d*)?(?:\++\d*|-+\d*)?(?::\d+)?\]', '\1', 'g'), '[/\\]', '', 'g')"
-_BARE_SIDE = "array_to_string(list_sort(list_filter(list_transform({0}, lambda x: " + _BARE.replace("{", "{{").replace("}", "}}") + "), lambda x: x is not null and x <> '')), '.')"
+BARE_TEXT = r"regexp_replace(regexp_replace(trim(x), '\[\d*(Br|Cl|[BCNOPSFI]|[bcnops])@{0,2}(?:H\d*)?(?:\++\d*|-+\d*)?(?::\d+)?\]', '\1', 'g'), '[/\\]', '', 'g')"
+_BARE_SIDE = "array_to_string(list_sort(list_filter(list_transform({0}, lambda x: " + BARE_TEXT.replace("{", "{{").replace("}", "}}") + "), lambda x: x is not null and x <> '')), '.')"
 SKELETONS = f"skels as (select record_no, 'R:' || nullif({_BARE_SIDE.format('reactants_smiles')}, '') || '>>P:' || nullif({_BARE_SIDE.format('products_smiles')}, '') as skel from mechanism_records)"
 
 

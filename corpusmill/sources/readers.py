@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pyspark.sql.window import Window
 
 from corpusmill.operators.aggregates import first_rows
 from corpusmill.operators.normalize import first_paragraph, reaction_parts, strip_cx
+from corpusmill.sources import wire
 
 
 def template_base(record_id: Column) -> Column:
@@ -86,18 +89,29 @@ DEPOSIT = "identifier string, inputs array<struct<role:string,identifiers:array<
 
 
 def deposits(spark: SparkSession, path: str, max_shards: int | None = None, descriptor: str | None = None, message: str | None = None) -> DataFrame:
-    """Shards of Parquet in sorted order. A binary column data is decoded by from_protobuf (with the
-    descriptor's file and message name); otherwise the columns of DEPOSIT are there already."""
+    """Shards of Parquet in sorted order. A binary column data is decoded: by from_protobuf if a
+    descriptor's file and message name are given (that needs Spark's protobuf package), else by the
+    field numbers of deposited reactions; blobs that can't be decoded are dropped. Without it the
+    columns of DEPOSIT are there already."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     shards = sorted(s.getPath().toString() for s in fs.listStatus(root) if s.isDirectory())[:max_shards] or [path]
     df = spark.read.option("recursiveFileLookup", True).parquet(*shards)
-    if dict(df.dtypes).get("data") == "binary":
+    if dict(df.dtypes).get("data") != "binary":
+        return df
+    if descriptor is not None:
         from pyspark.sql.protobuf.functions import from_protobuf
 
-        df = df.select(from_protobuf("data", message, descriptor, {"mode": "PERMISSIVE"}).alias("r")).filter("r is not null").select("r.*")
-    return df
+        return df.select(from_protobuf("data", message, descriptor, {"mode": "PERMISSIVE"}).alias("r")).filter("r is not null").select("r.*")
+
+    schema = to_arrow_schema(T._parse_datatype_string(DEPOSIT))
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pylist([r for r in map(wire.reaction, b.column(0).to_pylist()) if r is not None], schema=schema)
+
+    return df.select("data").mapInArrow(run, DEPOSIT)
 
 
 def deposit_records(df: DataFrame) -> DataFrame:

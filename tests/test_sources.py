@@ -118,3 +118,18 @@ def test_streams(spark, tmp_path):
         M.append_once(stream(), str(tmp_path / "out"), "id", str(tmp_path / "cp")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 60
     assert M.session_counts(spark.read.parquet(src), "ts", "k").first()["n"] == 60
+
+
+def test_wire_format():
+    from corpusmill.sources import wire as W
+
+    m = {"identifier": "x", "inputs": [{"key": "a", "value": {"components": [{"identifiers": [{"kind": 2, "value": "C" * 300}, {"kind": 6, "value": "é"}], "role": 1}, {"identifiers": [], "role": 300}]}}], "outcomes": [{"products": [{"identifiers": [{"kind": 2, "value": "O"}]}]}, {"products": []}], "conditions": {"temperature": {"setpoint": {"value": 25.5}}}}
+    blob = W.encode(m, W.REACTION)
+    assert W.decode(blob, W.REACTION) == m
+    got = W.reaction(blob)
+    assert got["identifier"] == "x" and got["temperature"] == 25.5 and [i["role"] for i in got["inputs"]] == ["REACTANT", "300"] and got["inputs"][0]["identifiers"][1] == {"kind": "6", "value": "é"}
+    more = b"\x0d\x00\x00\x80\x3f" + b"\x3a\x02hi" + blob  # fields that are not in the spec
+    assert W.reaction(more) == got
+    for bad in (None, b"", b"\xff", blob[:-1], b"\x52\x01\xff", b"\x50\x01", b"\x0b", b"\xff" * 12):
+        assert W.reaction(bad) is None
+    assert W.decode(b"", W.REACTION) == {"inputs": [], "outcomes": []}
