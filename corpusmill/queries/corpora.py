@@ -237,6 +237,25 @@ def dedup_fp_representative(spark, d):
     return best.select("cluster", "record_no", "provenance")
 
 
+_BUCKETS = f"buckets as (select record_no, list_min(list_filter(list_transform(products_smiles, lambda x: {BARE_TEXT}), lambda x: x is not null)) as bucket from mechanism_records)"
+_BIT_EDGES = f"""with recursive {_FEATURED}, {_TEXT_FPS}, {_BUCKETS},
+held as (select record_no, fp, bucket from fps join buckets using (record_no) join featured using (record_no) where sig is not null and bucket is not null),
+near as (select a.record_no as a, b.record_no as b from held a join held b on a.bucket = b.bucket and a.record_no < b.record_no where len(list_intersect(a.fp, b.fp)) * 100 >= (len(a.fp) + len(b.fp) - len(list_intersect(a.fp, b.fp))) * 97),
+star as (select min(record_no) over (partition by sig) as a, record_no as b from featured where sig is not null union select min(record_no) over (partition by steps), record_no from featured where steps is not null union select a, b from near),
+links as (select a, b from star where a <> b union select b, a from star where a <> b),
+reach as (select record_no as node, record_no as other from featured union select r.node, l.b from reach r join links l on r.other = l.a),
+clustered as (select node as record_no, min(other) as cluster from reach group by 1)"""
+
+
+@query(_BIT_EDGES + f" select cluster, record_no, provenance from (select *, row_number() over (partition by cluster order by {_RANK} desc, mechanism_step_nums desc nulls last, record_no) as k from clustered join featured using (record_no)) where k = 1")
+def dedup_bits_representative(spark, d):
+    """As dedup_fp_representative, with runs of characters as the molecules' bits and buckets as written."""
+    f = _featured(spark, d).join(_text_fingerprinted(spark, d).select("record_no", "fp"), "record_no").join(product_buckets(spark, d), "record_no", "left")
+    f = staged(f.withColumn("bucket", F.when(F.col("sig").isNotNull(), F.col("bucket"))), "text-fingerprinted")
+    best = U.representatives(f, U.clusters(f, "record_no", ["sig", "steps"], "fp", "97/100", "bucket"), "record_no", [-U.provenance_rank(F.col("provenance")), -F.coalesce("mechanism_step_nums", F.lit(-1))])
+    return best.select("cluster", "record_no", "provenance")
+
+
 @query()
 def dedup_fp_cluster_sizes(spark, d):
     return U.size_distribution(_clustered_by_all(spark, d)[1])
