@@ -21,7 +21,7 @@ UNCHANGED = -1
 
 def side_key(keys: Column) -> Column:
     """Sorted keys joined by points, null for an empty or null side; null keys are left out."""
-    kept = F.array_sort(F.filter(keys, lambda k: k.isNotNull() & (k != "")))
+    kept = F.sort_array(F.filter(keys, lambda k: k.isNotNull() & (k != "")))
     return F.when(F.size(kept) > 0, F.array_join(kept, "."))
 
 
@@ -59,7 +59,7 @@ def union_bits(sets: Column) -> Column:
 
 def xor_bits(a: Column, b: Column) -> Column:
     """Bits of exactly one side, ascending."""
-    return F.array_sort(F.array_union(F.array_except(a, b), F.array_except(b, a)))
+    return F.sort_array(F.array_union(F.array_except(a, b), F.array_except(b, a)))
 
 
 def _by_molecule(values: DataFrame, col: str, one, kind: pa.DataType, ddl: str, out: str) -> DataFrame:
@@ -95,7 +95,7 @@ def skeleton_keys(rows: DataFrame, key: str, sides: list[str], skeleton_of=conne
     each = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda m: F.struct(F.lit(c).alias("side"), m.alias("m")))
     parts = rows.select(key, F.explode(F.concat(*(each(c) for c in sides))).alias("x")).select(key, "x.side", "x.m")
     done = _by_molecule(parts, "m", skeleton_of, pa.string(), "string", "_s").filter("_s is not null")
-    of = lambda c: F.array_sort(F.collect_list(F.when(F.col("side") == c, F.col("_s")))).alias(f"{c}_skeletons")
+    of = lambda c: F.sort_array(F.collect_list(F.when(F.col("side") == c, F.col("_s")))).alias(f"{c}_skeletons")
     return rows.join(parts.join(done, "m").groupBy(key).agg(*(of(c) for c in sides)), key, "left")
 
 

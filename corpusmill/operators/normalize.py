@@ -57,7 +57,7 @@ def name_key(name: Column) -> Column:
 
 def rgroup_labels(molecules: Column) -> Column:
     """Sorted distinct labels of attachment points in a list of molecules."""
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(molecules, lambda m: F.transform(F.regexp_extract_all(m, F.lit(LABELLED), F.lit(1)), lambda d: d.cast("int"))))))
+    return F.sort_array(F.array_distinct(F.flatten(F.transform(molecules, lambda m: F.transform(F.regexp_extract_all(m, F.lit(LABELLED), F.lit(1)), lambda d: d.cast("int"))))))
 
 
 def is_template(molecules: Column) -> Column:
@@ -134,7 +134,7 @@ def normalize_list(df: DataFrame, key: str, col: str, kernel: Kernel | None = No
 
 def vocabulary(items: DataFrame, key: str, canonical: str, source: str, order: list[str]) -> DataFrame:
     """Per key: first canonical text in the given order, total count, sorted distinct sources."""
-    return items.groupBy(key).agg(F.min_by(canonical, F.struct(*order)).alias("canonical"), F.count("*").alias("n"), F.array_sort(F.collect_set(source)).alias("sources"))
+    return items.groupBy(key).agg(F.min_by(canonical, F.struct(*order)).alias("canonical"), F.count("*").alias("n"), F.sort_array(F.collect_set(source)).alias("sources"))
 
 
 def sanitize_stats(items: DataFrame, source: str, ok: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.operators.features import let
 from corpusmill.session import staged
 
 
@@ -17,7 +18,7 @@ def _prefixed(sets: DataFrame, key: str, items: str, tau: Fraction, by: list[str
         sets.select(key, *by, F.explode(F.array_distinct(items)).alias("item"))
         .join(order, "item")
         .groupBy(key, *by)
-        .agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("x"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("x"))
     )
     # n - ceil(tau n) + 1 elements: similar sets share one of them
     keep = size - F.ceil(F.lit(tau.numerator) * size / F.lit(tau.denominator)).cast("int") + 1
@@ -49,9 +50,14 @@ def _verified(cand: DataFrame, left: DataFrame, right: DataFrame, tau: Fraction)
     return joined.filter(F.col("both") * tau.denominator >= F.col("whole") * tau.numerator).select("a", "b", (F.col("both") / F.col("whole")).alias("similarity"))
 
 
+def _content(items: str) -> Column:
+    """Two hashes, 128 bits, of a set's sorted elements: equal for equal sets."""
+    return let(F.sort_array(F.array_distinct(items)), lambda x: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit("2"), x).alias("g")))
+
+
 def set_classes(sets: DataFrame, key: str, items: str, by: list[str] | None = None) -> DataFrame:
     """(key, rep): equal non-empty sets (equal in by, too) under their smallest key."""
-    content = F.sha2(F.array_join(F.array_sort(F.array_distinct(F.col(items).cast("array<string>"))), "\x1f"), 256)
+    content = _content(items)
     kept = sets.filter(F.size(items) > 0).select(key, content.alias("_c"), *(by or []))
     on = ["_c", *(by or [])]
     return kept.join(kept.groupBy(*on).agg(F.min(key).alias("rep")), on).select(key, "rep")
@@ -65,13 +71,12 @@ def similar_pairs(sets: DataFrame, key: str, items: str, tau: str | Fraction, by
 
     tau is an exact fraction (text such as "19/20"), so nothing hangs on floating-point rounding.
     With by, only sets equal in those columns are compared. Empty and null sets pair with nothing.
-    Candidates come from equi-joins on rare elements only, so
-    there is no cross join and no cap.
+    Keys are unique, or their repeated rows equal. Candidates come from equi-joins on rare elements
+    only, so there is no cross join and no cap.
     """
     tau, by = Fraction(tau), by or []
-    given = staged(sets.filter(F.size(items) > 0).select(key, F.col(items).alias("x"), *by), "sets")
-    reps = set_classes(given, key, "x", by).filter(F.col(key) == F.col("rep")).select(key)
-    kept = staged(given.join(reps.distinct(), key, "left_semi").dropDuplicates([key]), "sets")
+    given = sets.filter((F.size(items) > 0) & F.col(key).isNotNull()).select(key, F.col(items).alias("x"), _content(items).alias("_c"), *by)
+    kept = staged(given.groupBy("_c", *by).agg(F.min(key).alias(key), F.first("x").alias("x")).drop("_c"), "sets")
     order = _frequencies(kept.select(F.explode(F.array_distinct("x")).alias("item")))
     p = _prefixed(kept, key, "x", tau, by, order)
     a = p.select(F.col(key).alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), "token", *by)

@@ -131,7 +131,7 @@ CHECKS = {"sanitized": ("sanitize_fail",), "atom_balanced": ("discontinuous_step
 def checks(judged: DataFrame, key: str, sides: DataFrame | None = None) -> DataFrame:
     """Per record the checks and the sorted distinct reasons; with sides (key, reasons) those, too."""
     every = judged.select(key, "reasons") if sides is None else judged.select(key, "reasons").unionByName(sides.select(key, "reasons"))
-    out = every.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons"))
+    out = every.groupBy(key).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons"))
     free = lambda kinds: ~F.exists("reasons", lambda r: F.substring_index(r, ":", 1).isin(*kinds))
     return out.select(key, *(free(kinds).alias(c) for c, kinds in CHECKS.items()), "reasons")
 

@@ -41,7 +41,7 @@ def _clean_steps(records: DataFrame) -> DataFrame:
 
 def _gathered(steps: DataFrame, pos: str) -> DataFrame:
     """(record_id, x): the steps in order, out of rows with their fields."""
-    return steps.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(pos, F.struct("step", "type", "subtype", "smiles", "rationale").alias("s")))), lambda t: t["s"]).alias("x"))
+    return steps.groupBy("record_id").agg(F.transform(F.sort_array(F.collect_list(F.struct(pos, F.struct("step", "type", "subtype", "smiles", "rationale").alias("s")))), lambda t: t["s"]).alias("x"))
 
 
 @dataclass
@@ -70,7 +70,7 @@ def normalize_phase(run: Run, records: DataFrame) -> DataFrame:
 
     def side(df: DataFrame, col: str) -> DataFrame:
         parts = df.select("record_id", F.posexplode(col).alias("p", "m")).join(names, "m", "left")
-        agg = parts.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("canonical", "m").alias("c"), F.when(F.col("ok"), F.col("mol_key")).alias("k")))).alias("x"))
+        agg = parts.groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct("p", F.coalesce("canonical", "m").alias("c"), F.when(F.col("ok"), F.col("mol_key")).alias("k")))).alias("x"))
         return df.join(agg, "record_id", "left").withColumn(col, F.coalesce(F.transform("x", lambda s: s["c"]), F.array().cast("array<string>"))).withColumn(f"{col}_keys", F.coalesce(F.transform("x", lambda s: s["k"]), F.array().cast("array<string>"))).drop("x")
 
     out = side(side(records, "reactants"), "products")

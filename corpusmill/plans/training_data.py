@@ -22,7 +22,7 @@ def clean_mechanisms(records: DataFrame, key: str, least: float = 1.0) -> DataFr
     each = records.select(key, F.posexplode("steps").alias("p", "s")).withColumn("m", F.col("s.smiles"))
     done = normalized(each, "m").select(F.col("m").alias("_m"), "canonical", "ok")
     judged = each.join(done, F.col("m").eqNullSafe(F.col("_m")), "left").withColumn("s", F.col("s").withField("canonical", F.col("canonical")).withField("ok", F.col("ok")))
-    steps = judged.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "s"))), lambda t: t["s"]).alias("_steps"))
+    steps = judged.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "s"))), lambda t: t["s"]).alias("_steps"))
     names = records.schema["steps"].dataType.elementType.names
     kept = T.clean_steps(records.join(steps, key), "_steps", "ok", "canonical", "smiles", least)
     return kept.withColumn("steps", F.transform("_steps", lambda s: F.struct(*(s[n].alias(n) for n in names)))).drop("_steps")
@@ -44,9 +44,9 @@ def augmented(train: DataFrame, key: str, variants: int) -> DataFrame:
     parts = train.select(key, F.posexplode("reactants").alias("p", "m")).filter("m != ''")
     drawn = randomized(parts.select(F.struct(key, "p").alias("id"), "m"), "id", "m", variants)
     # where a reactant has fewer drawings than asked for, its last one serves again
-    each = drawn.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("variant", "drawing"))).alias("d")).select("id.*", "d", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))).alias("variant"))
+    each = drawn.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("variant", "drawing"))).alias("d")).select("id.*", "d", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))).alias("variant"))
     picked = each.select(key, "p", "variant", F.get("d", F.least(F.col("variant"), F.size("d") - 1))["drawing"].alias("drawing"))
-    lists = picked.groupBy(key, "variant").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "drawing"))), lambda s: s["drawing"]).alias("_r"))
+    lists = picked.groupBy(key, "variant").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "drawing"))), lambda s: s["drawing"]).alias("_r"))
     lists = lists.groupBy(key, "_r").agg(F.min("variant").alias("variant"))
     fresh = lists.join(train, key).filter(F.col("_r") != F.col("reactants"))
     fresh = fresh.withColumn("prompt", F.concat(F.lit("Reactants: "), T.json_list(F.col("_r")), F.lit("\nProducts: "), T.json_list(F.col("products"))))
@@ -66,7 +66,7 @@ def decontaminated(rows: DataFrame, benchmark: DataFrame, key: str) -> DataFrame
 
 def featured_sides(rows: DataFrame, key: str) -> DataFrame:
     """(key, sig, skel, steps, fp) of reactants and products, keys unique; steps are null."""
-    canon = lambda c: F.array_sort(F.collect_list(F.when((F.col("side") == c) & F.col("ok"), F.col("mol_key"))))
+    canon = lambda c: F.sort_array(F.collect_list(F.when((F.col("side") == c) & F.col("ok"), F.col("mol_key"))))
     each = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda m: F.struct(F.lit(c).alias("side"), m.alias("m")))
     given = staged(rows.select(key, "reactants", "products"), "sides")
     parts = given.select(key, F.explode(F.concat(each("reactants"), each("products"))).alias("x")).select(key, "x.*")

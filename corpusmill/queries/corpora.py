@@ -106,7 +106,7 @@ def _text_fingerprinted(spark, d):
 @query(f"with {_TEXT_FPS} select record_no, len(fp)::int as n_bits, fp[1]::int as first, fp[len(fp)]::int as last, list_sum(fp)::bigint as total from fps")
 def reaction_fingerprint(spark, d):
     """The bits of exactly one side of each reaction, with runs of characters as the molecules' bits."""
-    f = _text_fingerprinted(spark, d).filter("fp is not null").select("record_no", F.array_sort("fp").alias("fp"))
+    f = _text_fingerprinted(spark, d).filter("fp is not null").select("record_no", F.sort_array("fp").alias("fp"))
     return f.select("record_no", F.size("fp").alias("n_bits"), F.col("fp")[0].alias("first"), F.element_at("fp", -1).alias("last"), F.aggregate("fp", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
 
 

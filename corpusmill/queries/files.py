@@ -193,7 +193,7 @@ def registry_ingest(spark, d):
 def reject_sink(spark, d):
     """Rejected records with their reasons, written and read back."""
     path = scratch(spark, "rejects")
-    K.write_rejects(Q.structural_problems(spark, d).groupBy("record_no").agg(F.array_sort(F.collect_list("problem")).alias("reasons")), path)
+    K.write_rejects(Q.structural_problems(spark, d).groupBy("record_no").agg(F.sort_array(F.collect_list("problem")).alias("reasons")), path)
     return spark.read.schema("record_no bigint, reasons array<string>").json(path).select("record_no", F.array_join("reasons", ",").alias("reasons"))
 
 
