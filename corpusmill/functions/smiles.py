@@ -27,7 +27,7 @@ VALENCES = {"B": (3,), "C": (4,), "N": (3, 5), "O": (2,), "P": (3, 5), "S": (2,
 _ORDER = {"": 1, "-": 1, "/": 1, "\\": 1, "=": 2, "#": 3, "$": 4, ":": 1}
 
 
-@dataclass
+@dataclass(slots=True)
 class Atom:
     element: str
     aromatic: bool = False
@@ -35,10 +35,9 @@ class Atom:
     hydrogens: int | None = None  # None: implicit
     isotope: int = 0
     map_no: int = 0
-    label: str = ""
 
 
-@dataclass
+@dataclass(slots=True)
 class Mol:
     atoms: list[Atom] = field(default_factory=list)
     bonds: list[tuple[int, int, str]] = field(default_factory=list)
@@ -63,6 +62,20 @@ def _charge(text: str | None) -> int:
     return sign * (int(text[1:]) if text[1:].isdigit() else len(text))
 
 
+@lru_cache(maxsize=10_000)
+def _bracketed(tok: str) -> tuple | None:
+    """An atom's fields out of a bracket; None if it can't be read."""
+    b = _BRACKET.fullmatch(tok)
+    if not b:
+        return None
+    el, h = b["el"], b["h"]
+    return el.capitalize() if el != "*" else "*", el.islower(), _charge(b["charge"]), 0 if not h else int(h[1:] or 1), int(b["iso"] or 0), int(b["map"] or 0)
+
+
+#: Unbracketed atoms as elements, and whether they are aromatic.
+_PLAIN = {t: (t.capitalize() if t.islower() else t, t.islower()) for t in ("Br", "Cl", *"BCNOPSFIbcnops", "*")}
+
+
 def parse(smiles: str | None) -> Mol | None:
     """The molecule, or None for null, empty or malformed text."""
     if smiles is None:
@@ -78,14 +91,12 @@ def parse(smiles: str | None) -> Mol | None:
         mol.tokens.append(tok)
         if kind in ("bracket", "atom", "star"):
             if kind == "bracket":
-                b = _BRACKET.fullmatch(tok)
-                if not b:
+                fields = _bracketed(tok)
+                if fields is None:
                     return None
-                el = b["el"]
-                h = b["h"]
-                atom = Atom(el.capitalize() if el != "*" else "*", el.islower(), _charge(b["charge"]), 0 if not h else int(h[1:] or 1), int(b["iso"] or 0), int(b["map"] or 0))
+                atom = Atom(*fields)
             else:
-                atom = Atom("*" if kind == "star" else tok.capitalize() if tok.islower() else tok, tok.islower())
+                atom = Atom(*_PLAIN[tok])
             mol.atoms.append(atom)
             mol.atom_at.append(here)
             i = len(mol.atoms) - 1
