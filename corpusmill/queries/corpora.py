@@ -14,7 +14,7 @@ from corpusmill.operators.components import hash_to_min, star_edges
 from corpusmill.queries import query
 from corpusmill.queries.common import COLLAPSED, FULL, STEPS, full_rows, records
 from corpusmill.queries.records import BARE_TEXT, SIGS, SKELETONS, signatures, skeletons
-from corpusmill.session import staged, table
+from corpusmill.session import staged, table, widened
 
 
 def _featured(spark, d):
@@ -148,7 +148,7 @@ select ka as a, kb as b, round(k / (na.n + nb.n - k), 9)::double as similarity f
 )
 def sim_join_shingles(spark, d):
     """Pairs of different documents, of equal ones the first, with at least 0.8 of their five-word shingles in common."""
-    s = table(spark, d, "documents").select("doc_id", FT.word_shingles(F.col("text")).alias("x"))
+    s = widened(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", FT.word_shingles(F.col("text")).alias("x"))
     return J.similar_pairs(s, "doc_id", "x", "4/5").select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 

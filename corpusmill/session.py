@@ -98,6 +98,13 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *([F.xxhash64(*cols)] if cols else []))
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """A scan with fewer tasks than the session has cores (a small or single file) over so many tasks,
+    for work that is costly per row; others as they are, so large tables are not shuffled for it."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= n else df.repartition(n)
+
+
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast df only if it is proven to have at most so many rows; else leave the join to AQE."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
