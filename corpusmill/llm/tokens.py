@@ -11,6 +11,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import widened
+
 #: Fixed value: the published splitting pattern of the rank files.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 _LOADED: dict[str, object] = {}
@@ -55,4 +57,4 @@ def with_tokens(docs: DataFrame, keep: list[str], vocabulary: str, text: str = "
             texts = [(t or "").encode("utf-8", "replace").decode() for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(count(texts), pa.int64())], names=[*keep, "n_tokens"])
 
-    return docs.select(*keep, F.col(text).cast("string")).mapInArrow(run, ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", n_tokens bigint")
+    return widened(docs.select(*keep, F.col(text).cast("string"))).mapInArrow(run, ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", n_tokens bigint")
